@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Label pieces this long or shorter are looked for inside the tokens of a text.
-RUN = 3
-
 
 def field_checks(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
     """D3: (key, check) for every rule a row breaks; a NULL rule counts as kept."""
@@ -22,70 +19,56 @@ def foreign_text(
 ) -> DataFrame:
     """(key, label_key) wherever `value` contains the whole text of a label.
 
-    Works for label lists of any size (a label must have a non-space character). A label is looked up by one piece of it that
-    any text holding the label must have: three whole inner words in a row when it
-    is long enough, else its longest word, as a part of a word. Only the texts and
-    labels that share such a piece meet, and the containment is then tested on the
-    whole text.
+    Works for label lists of any size (a label must have a non-space character). A
+    label is looked up by one piece that any text holding it must have: its longest
+    inner word, or, when it has no word between others, its longest word as a part
+    of a word. Only texts and labels that share such a piece meet, in an equi-join,
+    and the containment is then tested on the whole text.
     """
     tokens = F.filter(F.split(F.col(label), r"\s+"), lambda t: t != "")
     inner = F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 2, F.lit(0)))
     listed = labels.filter(F.col(label).rlike(r"\S")).select(
-        F.col(label_key).alias("__lk"),
-        F.col(label).alias("__label"),
-        tokens.alias("__tokens"),
-        inner.alias("__inner"),
-    )
-    # the longest run of three inner words: the rarest guess that needs no statistics
-    runs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("__inner") - RUN + 1, F.lit(1))),
-        lambda i: F.array_join(F.slice("__inner", i, RUN), " "),
+        F.col(label_key).alias("__lk"), F.col(label).alias("__label")
     )
     longest = lambda items: F.reduce(
         items,
         F.lit(""),
         lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best),
     )
-    long_enough = F.size("__inner") >= RUN
-    by_run = listed.filter(long_enough).select("__lk", longest(runs).alias("__piece"))
-    by_part = listed.filter(~long_enough).select(
-        "__lk", longest(F.col("__tokens")).alias("__piece")
+    pieces = labels.filter(F.col(label).rlike(r"\S")).select(
+        F.col(label_key).alias("__lk"),
+        (F.size(inner) > 0).alias("__whole"),
+        longest(F.when(F.size(inner) > 0, inner).otherwise(tokens)).alias("__piece"),
     )
+    by_word = pieces.filter("__whole").drop("__whole")
+    by_part = pieces.filter("NOT __whole").drop("__whole")
 
-    texts = df.select(F.col(key).alias("__k"), F.split(F.col(value), r"\s+").alias("__t"))
-    text_runs = texts.select(
-        "__k",
-        F.explode(
-            F.array_distinct(
-                F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.size("__t") - RUN + 1, F.lit(1))),
-                    lambda i: F.array_join(F.slice("__t", i, RUN), " "),
-                )
-            )
-        ).alias("__piece"),
+    words = df.select(
+        F.col(key).alias("__k"),
+        F.explode(F.array_distinct(F.split(F.col(value), r"\s+"))).alias("__piece"),
     )
+    candidates = words.join(by_word, "__piece").select("__k", "__lk")
     # parts of words, only of the lengths some label asks for
     lengths = by_part.agg(F.collect_set(F.length("__piece")).alias("n")).head()["n"]
-    candidates = text_runs.join(by_run, "__piece").select("__k", "__lk")
     if lengths:
-        word = texts.select("__k", F.explode(F.array_distinct("__t")).alias("__w"))
+        word = F.col("__piece")
         fitting = F.filter(
-            F.array(*(F.lit(n) for n in sorted(lengths))), lambda n: n <= F.length("__w")
+            F.array(*(F.lit(n) for n in sorted(lengths))), lambda n: n <= F.length(word)
         )
         parts = F.flatten(
             F.transform(
                 fitting,
                 lambda n: F.transform(
-                    F.sequence(F.lit(1), F.length("__w") - n + 1),
-                    lambda i: F.substring(F.col("__w"), i, n),
+                    F.sequence(F.lit(1), F.length(word) - n + 1),
+                    lambda i: F.substring(word, i, n),
                 ),
             )
         )
-        text_parts = word.select("__k", F.explode(F.array_distinct(parts)).alias("__piece"))
+        text_parts = words.select("__k", F.explode(F.array_distinct(parts)).alias("__piece"))
         candidates = candidates.unionByName(
             text_parts.join(by_part, "__piece").select("__k", "__lk")
         )
-    pairs = candidates.distinct().join(listed.select("__lk", "__label"), "__lk")
+    pairs = candidates.distinct().join(listed, "__lk")
     whole = df.select(F.col(key).alias("__k"), F.col(value).alias("__value"))
     return (
         whole.join(pairs, "__k")

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotewise.functions.numbers import unit_value
-from lotewise.operators.load import Check, gate, upsert
+from lotewise.operators.load import Check, staged_gate, upsert
 from lotewise.operators.normalise import normalise
+from lotewise.session import shared_dir
 
 SAMPLE_KEY = ["codigo_laudo", "numero_amostra"]
 
@@ -40,12 +41,13 @@ def load_lines(spark: SparkSession, folder: str) -> DataFrame:
     valued = typed.withColumn(
         "valor_m2", unit_value(F.lit(None), "valor", "area_privativa", "area_terreno", is_lot)
     )
-    gate(
+    batch, _ = staged_gate(
         valued,
         [
             Check("no value", F.col("valor").isNull(), 0.01),
             Check("no date", F.col("data").isNull(), 0.01),
             Check("no private area", F.col("area_privativa").isNull(), 0.05),
         ],
+        shared_dir(spark, "first-load"),
     )
-    return upsert(valued.limit(0), valued, SAMPLE_KEY, ["data"])
+    return upsert(batch.limit(0), batch, SAMPLE_KEY, ["data"])

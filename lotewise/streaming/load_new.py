@@ -8,7 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from lotewise.operators.coordinates import geocode, unanswered
-from lotewise.operators.load import Check, gate
+from lotewise.operators.load import Check, staged_gate
+from lotewise.session import shared_dir
 from lotewise.sources import snapshot
 
 
@@ -55,9 +56,10 @@ def load_new(
     """
 
     def per_batch(batch: DataFrame, _: int) -> None:
-        gate(batch, checks(), ignore)
+        session = batch.sparkSession
+        staged, _ = staged_gate(batch, checks(), shared_dir(session, "staged"), ignore)
         snapshot.load_batch(
-            batch.sparkSession, out_dir, {name: batch}, {name: keys}, order_by, keys[0], buckets
+            session, out_dir, {name: staged}, {name: keys}, order_by, keys[0], buckets
         )
 
     _run_available(spark, in_dir, schema, checkpoint, per_batch, files_per_batch)
