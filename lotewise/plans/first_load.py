@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lotewise.functions.numbers import unit_value
 from lotewise.operators.load import Check, staged_gate, upsert
 from lotewise.operators.normalise import normalise
-from lotewise.session import shared_dir
+from lotewise.session import shared_dir, spread
 
 SAMPLE_KEY = ["codigo_laudo", "numero_amostra"]
 
@@ -20,7 +20,7 @@ def printed_lines(spark: SparkSession, folder: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"
     )
     money = F.format_number(F.col("l_extendedprice").cast("decimal(18,2)"), 2)
-    return lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+    return spread(lines).join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_orderkey").cast("string").alias("codigo_laudo"),
         F.col("l_linenumber").alias("numero_amostra"),
         F.date_format(F.to_date("l_shipdate"), "dd/MM/yyyy").alias("data"),

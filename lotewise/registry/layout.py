@@ -18,6 +18,7 @@ from lotewise.operators.layout import (
     route_layout,
 )
 from lotewise.registry.base import query, table
+from lotewise.session import spread
 
 MODEL_SQL = """case when not contains(text, chr(10)) then 'legacy'
                     when contains(text, 'License') then 'fisico' else 'digital' end"""
@@ -30,7 +31,7 @@ def models(spark, sf):
 
 def document_words(spark, sf):
     """Documents as printed pages of 50 lines, 12 points apart, words a little uneven."""
-    lines = table(spark, sf, "documents").select(
+    lines = spread(table(spark, sf, "documents").select("doc_id", "text")).select(
         F.col("doc_id").cast("string").alias("codigo_laudo"),
         F.posexplode(F.split("text", "\n")).alias("i", "row"),
     )
@@ -85,7 +86,8 @@ def order_words(spark, sf):
             for y, value in ((100.0, F.lit(label)), (115.0, col))
         )
     )
-    phrases = table(spark, sf, "orders").select(
+    orders = table(spark, sf, "orders").drop("o_custkey", "o_orderdate")
+    phrases = spread(orders).select(
         F.col("o_orderkey").cast("string").alias("codigo_laudo"), F.explode(cells).alias("c")
     )
     words = phrases.select(
@@ -181,7 +183,7 @@ PATTERNS = {
         from (select doc_id, text, {MODEL_SQL} as modelo from documents)""",
 )
 def from_running_text(spark, sf):
-    documents = table(spark, sf, "documents").select("doc_id", "text")
+    documents = spread(table(spark, sf, "documents").select("doc_id", "text"))
     routed = documents.join(models(spark, sf), "doc_id")
     return legacy_fields(routed, "text", PATTERNS)
 
@@ -206,7 +208,8 @@ def samples(spark, sf):
         F.lit("Dados de mercado\n"),
         F.array_join(F.transform(F.split("text", "\n"), headed), "\n"),
     )
-    printed = table(spark, sf, "documents").select("doc_id", text.alias("texto"))
+    documents = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    printed = documents.select("doc_id", text.alias("texto"))
     return explode_samples(printed, "texto")
 
 

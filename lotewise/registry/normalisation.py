@@ -11,6 +11,7 @@ from lotewise.functions.places import address_parts, coordinates
 from lotewise.functions.text import join_list, split_list
 from lotewise.operators.normalise import fill_not_applicable, normalise
 from lotewise.registry.base import query, table
+from lotewise.session import spread
 
 
 def printed_money(col: str) -> Column:
@@ -38,7 +39,10 @@ def printed_numbers(spark, sf):
         F.lit(None).cast("string").alias("area"),
     )
     # quantities with three decimals: the area rule decides what the dot means
-    lineitem = table(spark, sf, "lineitem").select(
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity"
+    )
+    lineitem = spread(lines).select(
         F.lit("lineitem").alias("origem"),
         F.col("l_orderkey").alias("k1"),
         F.col("l_linenumber").alias("k2"),

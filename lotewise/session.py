@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What the jobs are tuned for: adaptive re-planning splits the partitions of a hot
 # key in joins, merges tiny ones, and turns a shuffled join into a broadcast one
@@ -46,3 +46,13 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="lotewise-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows spread over all cores when the files they come from are too few for them.
+
+    For input that costly row work (parsing, splitting texts) follows. With more
+    files than cores, as on any large table, the rows stay where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
