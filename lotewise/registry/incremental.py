@@ -22,7 +22,13 @@ def stored_in_two_loads(spark, sf):
     before, after = shipped_split(spark, sf)
     for batch in (before, after):
         snapshot.load_batch(
-            spark, path, {"linhas": batch}, {"linhas": LINE_KEY}, ["l_shipdate"], "l_orderkey", 16
+            spark,
+            path,
+            {"linhas": batch},
+            {"linhas": LINE_KEY},
+            "l_orderkey",
+            ["l_shipdate"],
+            buckets=16,
         )
     return snapshot.read_table(spark, path, "linhas", before.schema)
 

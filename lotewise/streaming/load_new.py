@@ -59,7 +59,13 @@ def load_new(
         session = batch.sparkSession
         staged, _ = staged_gate(batch, checks(), shared_dir(session, "staged"), ignore)
         snapshot.load_batch(
-            session, out_dir, {name: staged}, {name: keys}, order_by, keys[0], buckets
+            session,
+            out_dir,
+            {name: staged},
+            {name: keys},
+            keys[0],
+            order_by,
+            buckets=buckets,
         )
 
     _run_available(spark, in_dir, schema, checkpoint, per_batch, files_per_batch)
