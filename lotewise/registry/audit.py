@@ -13,6 +13,7 @@ from lotewise.operators.quality import (
     quality_report,
 )
 from lotewise.registry.base import quantile_sql, query, table
+from lotewise.session import spread
 
 SAMPLE_SQL = """select * from orders
   order by md5('7|' || cast(o_orderkey as varchar)), o_orderkey limit 500"""
@@ -255,7 +256,7 @@ def far_off(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity"
     )
-    unit = lines.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+    unit = spread(lines).join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         "l_orderkey",
         "l_linenumber",
         "p_type",

@@ -15,6 +15,7 @@ from lotewise.operators.photos import (
     top_unlabelled,
 )
 from lotewise.registry.base import query, table
+from lotewise.session import keep
 
 # Nouns of the part names read as captions; `gizmo` and `anvil` have no label.
 NOUNS = [
@@ -154,7 +155,7 @@ def names(spark, sf):
     """The first ten days are in the folder already; the rest go on from there."""
     photos = event_photos(spark, sf)
     old, new = (photos.filter(f"page {op} date'{FIRST_DAYS}'") for op in ("<", ">="))
-    there = name_photos(old, None, EVENT_ORDER)
+    there = keep(name_photos(old, None, EVENT_ORDER), "names")
     added = name_photos(new, there.select("file_name"), EVENT_ORDER)
     return there.unionByName(added).select("event_id", "codigo_laudo", "n", "file_name")
 
@@ -187,7 +188,7 @@ def names(spark, sf):
 def plan(spark, sf):
     photos = event_photos(spark, sf)
     old, new = (photos.filter(f"page {op} date'{FIRST_DAYS}'") for op in ("<", ">="))
-    named = name_photos(old, None, EVENT_ORDER)
+    named = keep(name_photos(old, None, EVENT_ORDER), "names")
     existing = dedupe_photos(named, ["pos", "event_id"])
     return photo_plan(dedupe_photos(new, ["pos", "event_id"]), existing)
 

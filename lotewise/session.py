@@ -48,6 +48,17 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+def keep(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` worked out once, written to the shared folder and read back.
+
+    Cuts the lineage of what several later steps use; the files outlive a lost
+    executor, and their size tells Spark whether the result may be broadcast.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows spread over all cores when the files they come from are too few for them.
 
