@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotewise.operators.joins import many_to_one
 from lotewise.operators.quantiles import exact_quantiles
 from lotewise.session import keep
 
@@ -56,13 +57,12 @@ def outliers(df: DataFrame, value: str, by: Sequence[str], fence: float = 1.5) -
     q = exact_quantiles(df, by, value, {"q1": 0.25, "q3": 0.75})
     spread = F.col("q3") - F.col("q1")
     fences = q.select(
-        *(F.col(c).alias(f"__g_{c}") for c in by),
+        *by,
         (F.col("q1") - F.lit(fence) * spread).alias("low"),
         (F.col("q3") + F.lit(fence) * spread).alias("high"),
     )
-    on = [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in by]
     outside = (F.col(value) < F.col("low")) | (F.col(value) > F.col("high"))
-    return df.join(fences, on).filter(outside).drop(*(f"__g_{c}" for c in by))
+    return many_to_one(df, fences, by).filter(outside)
 
 
 def quality_report(sections: dict[str, DataFrame]) -> DataFrame:

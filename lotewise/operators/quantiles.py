@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lotewise.operators.joins import many_to_one
 from lotewise.session import keep
 
 # Each quantile is looked for between two sketched bounds this far (in rank share)
@@ -45,11 +46,11 @@ def exact_quantiles(
     cell = [*by, "__span", "__slice"]
     wanted = keep(_wanted_cells(cells, sketch, by, probs), "cells")
 
-    inside = _with_group(cells, wanted.select(*cell).distinct(), cell)
+    inside = many_to_one(cells, wanted.select(*cell).distinct(), cell)
     values = inside.groupBy(*cell, "__v").agg(F.count(F.lit(1)).alias("__m"))
     upto = W.partitionBy(*cell).orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
     values = values.withColumn("__upto", F.sum("__m").over(upto))
-    picked = _with_group(wanted, values, cell).filter(
+    picked = many_to_one(wanted, values, cell).filter(
         "__in_cell < __upto AND __in_cell >= __upto - __m"
     )
     # the two neighbours of each quantile, by rank
@@ -71,7 +72,7 @@ def exact_quantiles(
 
 def _celled(src: DataFrame, sketch: DataFrame, by: Sequence[str], n_bounds: int) -> DataFrame:
     """The cell of each value: its span between two bounds, then a slice of the span."""
-    joined = _with_group(src, sketch.drop("n"), by)
+    joined = many_to_one(src, sketch.drop("n"), by)
     span = F.lit(0)
     for i in range(n_bounds):
         span = span + F.when(F.col("__v") > F.get("__b", F.lit(i)), 1).otherwise(0)
@@ -107,19 +108,9 @@ def _wanted_cells(
     )
     start = F.col("__end") - F.col("__c")
     return (
-        _with_group(counts, ranks, by)
+        many_to_one(counts, ranks, by)
         .filter((F.col("__rank") >= start) & (F.col("__rank") < F.col("__end")))
         .select(
             *by, "n", "__name", "__span", "__slice", (F.col("__rank") - start).alias("__in_cell")
         )
     )
-
-
-def _with_group(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on `keys`, NULL keys meeting."""
-    renamed = right.select(
-        *(F.col(k).alias(f"__g_{k}") for k in keys),
-        *(c for c in right.columns if c not in keys),
-    )
-    on = [F.col(k).eqNullSafe(F.col(f"__g_{k}")) for k in keys]
-    return left.join(renamed, on).drop(*(f"__g_{k}" for k in keys))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lotewise.functions.numbers import unit_value
 from lotewise.operators.coordinates import geocode_cached, merge_coordinates, needs_coordinate
 from lotewise.operators.extraction import SAMPLE_HEADING, legacy_fields
+from lotewise.operators.joins import many_to_one
 from lotewise.operators.layout import (
     cluster_lines,
     grid_fields,
@@ -78,7 +79,8 @@ def extract(
         typed = _with_options(typed, options)
     reports = _as(REPORTS, _spread_out(typed))
     kept, excluded = split_excluded(reports, F.col("tipo") == form.MULTIPLE_UNITS)
-    samples = _samples(lines).join(excluded.select("codigo_laudo"), "codigo_laudo", "left_anti")
+    left_out = excluded.select("codigo_laudo")
+    samples = many_to_one(_samples(lines), left_out, ["codigo_laudo"], "left_anti")
     return Extracted(kept, samples, excluded.select("codigo_laudo"), failures)
 
 
@@ -87,7 +89,7 @@ def _with_legacy(raw, lines, models, patterns, fields) -> DataFrame:
     old = models.filter("modelo = 'legacy'")
     in_order = F.array_sort(F.collect_list(F.struct("line", "text")))
     pages = (
-        lines.join(old.select("codigo_laudo"), "codigo_laudo", "left_semi")
+        many_to_one(lines, old.select("codigo_laudo"), ["codigo_laudo"], "left_semi")
         .groupBy("codigo_laudo", "page")
         .agg(F.array_join(F.transform(in_order, lambda x: x["text"]), "\n").alias("text"))
     )
@@ -246,7 +248,8 @@ def plan_photos(photos: DataFrame, models: DataFrame, existing: DataFrame) -> Da
     `photos` as in the schema, `models` (codigo_laudo, modelo), `existing`
     (codigo_laudo, sha256, label, file_name).
     """
-    chosen = select_photos(classify_caption(photos).join(models, "codigo_laudo"))
+    routed = many_to_one(classify_caption(photos), models, ["codigo_laudo"])
+    chosen = select_photos(routed)
     plan = photo_plan(chosen, existing, checked=photos)
     key = ["codigo_laudo", "sha256", "label"]
     new = chosen.join(plan.filter("action = 'add'").select(*key), key, "left_semi")

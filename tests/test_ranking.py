@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lotewise.operators.joins import many_to_one
 from lotewise.operators.quality import empty_fields, incoherent_values, outliers
 from lotewise.operators.quantiles import exact_quantiles
 from lotewise.operators.ranking import latest_per_key, number_within, running_total
@@ -78,3 +79,38 @@ def test_contradictions(spark, rows):
     df = spark.createDataFrame([(1, 5, 3), (2, 1, None), (3, 1, 2)], "k int, forced int, value int")
     rules = {"forced over value": F.col("forced") > F.col("value"), "odd": F.col("k") % 2 == 1}
     assert rows(incoherent_values(df, ["k"], rules)) == [(1, "forced over value"), (1, "odd"), (3, "odd")]
+
+
+def test_hot_key_is_split_against_an_aggregate(spark):
+    """The partition of a key with most rows is read by several tasks."""
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    before = {k: spark.conf.get(k, None) for k in low}
+    for k, v in low.items():
+        spark.conf.set(k, v)
+    try:
+        many = spark.range(0, 200000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.md5(F.col("id").cast("string")).alias("v")
+        )
+        one = many.groupBy("k").agg(F.max("v").alias("top"))
+        joined = many_to_one(many, one, ["k"], "left")
+        assert joined.filter("top >= v").agg(F.count("v")).head()[0] == 200000
+        joined.write.format("noop").mode("overwrite").save()
+        query = joined.agg(F.sum(F.length("v")), F.max("top"))
+        query.collect()
+        assert "SortMergeJoin(skew=true)" in query._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("how, expected", [("inner", [(1, "x"), (None, "z")]), ("left", [(1, "x"), (2, "y"), (None, "z")]), ("left_semi", [(1, "x"), (None, "z")]), ("left_anti", [(2, "y")])])
+def test_many_to_one(spark, rows, how, expected):
+    many = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "k int, v string")
+    one = spark.createDataFrame([(1,), (None,), (3,)], "k int")
+    assert rows(many_to_one(many, one, ["k"], how)) == sorted(expected, key=repr)
