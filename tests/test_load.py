@@ -52,6 +52,13 @@ def test_without_an_order_the_update_wins(spark, rows):
     assert rows(upsert(target, updates, KEYS)) == [("a", 1, 1, None), ("b", 1, 9, 9.0)]
 
 
+@pytest.mark.parametrize("order_by", [(), ("at",)])
+def test_a_stored_table_is_upserted_alike(spark, rows, order_by):
+    target = upsert(spark.createDataFrame([], SCHEMA), spark.createDataFrame(random_rows(3), SCHEMA), KEYS, ["at"])
+    updates = spark.createDataFrame([r for r in random_rows(4) if r[0] in ("r1", "r2", "r99")] + [("new", 1, 1, 1.0)], SCHEMA)
+    assert rows(upsert(target, updates, KEYS, order_by, unique_target=True)) == rows(upsert(target, updates, KEYS, order_by))
+
+
 def test_children_of_a_report_read_again(spark, rows):
     target = spark.createDataFrame([("a", 1, 0, 1.0), ("a", 2, 0, 1.0), ("b", 1, 0, 1.0), ("c", 1, 0, 1.0)], SCHEMA)
     updates = spark.createDataFrame([("a", 1, 0, 5.0)], SCHEMA)

@@ -114,3 +114,8 @@ def test_many_to_one(spark, rows, how, expected):
     many = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "k int, v string")
     one = spark.createDataFrame([(1,), (None,), (3,)], "k int")
     assert rows(many_to_one(many, one, ["k"], how)) == sorted(expected, key=repr)
+
+
+def test_rows_that_are_only_a_key(spark, rows):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "k int")
+    assert rows(latest_per_key(df, ["k"], [])) == [(1,), (2,)]
