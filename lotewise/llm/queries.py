@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotewise.llm import pii, secrets, simhash
+from lotewise.llm import pii, quality, secrets, simhash
 from lotewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_personal_data(table(spark, sf_dir, "documents")))
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(quality.judged(table(spark, sf_dir, "documents").select("doc_id", "text")))

@@ -17,12 +17,11 @@ class Reliabilities:
     prior: float  # log-odds of yes
     when_yes: tuple[float, ...]  # what a labeler's yes adds to the log-odds
     when_no: tuple[float, ...]  # what its no adds
-    when_silent: tuple[float, ...]  # what its abstention adds
 
     def log_odds(self, votes: Sequence[int]) -> float:
         total = self.prior
         for k, vote in enumerate(votes):
-            total += (self.when_silent, self.when_yes, self.when_no)[vote][k]
+            total += (0.0, self.when_yes[k], self.when_no[k])[vote]
         return total
 
 
@@ -30,26 +29,30 @@ def estimate(
     patterns: Sequence[tuple[tuple[int, ...], int]],
     labelers: int,
     prior: float = 0.5,
-    accuracy: float = 0.9,
+    right: float = 0.9,
+    caught: float = 0.9,
     rounds: int = 50,
-    use_silence: bool = False,
-    strength: float = 10.0,
+    strength: float = 0.05,
 ) -> Reliabilities:
     """How often each labeler says yes, no or nothing where the truth is yes and where it
-    is no. The start has every labeler right with `accuracy`, and counts as `strength` rows
-    in each round, so a labeler that hardly votes keeps the start's reliability and one that
-    disagrees with the rest loses it. Without patterns the start is returned."""
+    is no. The start has a labeler say no to 1 - `right` of what is yes and to `caught` of
+    what is no, the rest of its votes being shared as observed: a low `caught` suits
+    labelers that each know one fault and have nothing against the others. The start counts
+    as `strength` times all rows (ten at least) in each round, so a labeler that hardly votes
+    keeps it. Abstaining tells nothing. Without patterns the start is returned."""
     total = sum(n for _, n in patterns)
-    silent = [sum(n for v, n in patterns if v[k] == 0) / total if total else 0.0 for k in range(labelers)]
+    strength = max(10.0, strength * total)
 
     def start(k: int, truth: int) -> dict[int, float]:
-        said = 1 - silent[k]
-        return {truth: said * accuracy, -truth: said * (1 - accuracy), 0: silent[k]}
+        yes = sum(n for v, n in patterns if v[k] == 1) + 1.0
+        silent = sum(n for v, n in patterns if v[k] == 0) + 1.0
+        no = 1 - right if truth == 1 else caught
+        return {-1: no, 1: (1 - no) * yes / (yes + silent), 0: (1 - no) * silent / (yes + silent)}
 
     first = [(start(k, 1), start(k, -1)) for k in range(labelers)]
     table, base = first, prior
     for _ in range(rounds):
-        now = _as_log_odds(table, base, use_silence)
+        now = _as_log_odds(table, base)
         yes = [1 / (1 + math.exp(-max(-500, min(500, now.log_odds(v))))) for v, _ in patterns]
         table = []
         for k in range(labelers):
@@ -62,24 +65,14 @@ def estimate(
                 side.append({s: (mass[s] + strength * first[k][truth][s]) / whole for s in mass})
             table.append(tuple(side))
         base = (sum(n * p for (_, n), p in zip(patterns, yes)) + strength * prior) / (total + strength)
-    return _as_log_odds(table, base, use_silence)
-
-
-def _as_log_odds(table, base: float, use_silence: bool) -> Reliabilities:
-    def ratio(k: int, vote: int) -> float:
-        yes, no = table[k]
-        if not use_silence:  # among those that vote
-            said_yes, said_no = yes[1] + yes[-1], no[1] + no[-1]
-            return math.log(((yes[vote] + 1e-9) / (said_yes + 2e-9)) / ((no[vote] + 1e-9) / (said_no + 2e-9)))
-        return math.log((yes[vote] + 1e-9) / (no[vote] + 1e-9))
-
-    count = range(len(table))
-    return Reliabilities(
-        math.log((base + 1e-9) / (1 - base + 1e-9)),
-        tuple(ratio(k, 1) for k in count),
-        tuple(ratio(k, -1) for k in count),
-        tuple(ratio(k, 0) if use_silence else 0.0 for k in count),
-    )
+    return _as_log_odds(table, base)
+
+
+def _as_log_odds(table, base: float) -> Reliabilities:
+    def ratios(vote: int) -> tuple[float, ...]:
+        return tuple(math.log((yes[vote] + 1e-9) / (no[vote] + 1e-9)) for yes, no in table)
+
+    return Reliabilities(math.log((base + 1e-9) / (1 - base + 1e-9)), ratios(1), ratios(-1))
 
 
 def fit_logistic(
