@@ -24,8 +24,8 @@ from lotewise.llm.common import GAP, WORD, let
 from lotewise.session import keep
 
 SYMBOLS = "[#*$%&|<>]"
-#: A word of letters, with one mark after it at most.
-PLAIN = r"(?<![^\x20\x09-\x0D])[\p{L}'-]++[.,;:!?]?+(?![^\x20\x09-\x0D])"
+#: A word of letters and digits, with one mark after it at most.
+PLAIN = r"(?<![^\x20\x09-\x0D])[\p{L}\p{N}'-]++[.,;:!?]?+(?![^\x20\x09-\x0D])"
 KEEP = 0.5
 
 #: Rule: (measure, votes good up to, votes bad from); between the two it abstains.
@@ -36,7 +36,7 @@ RULES: dict[str, tuple[str, float, float]] = {
     "capitals": ("n_capitals / greatest(n_letters, 1)", 0.20, 0.50),
     "exclaimed": ("n_exclaimed / n_words", 0.05, 0.20),
     "same_word": ("n_same / n_words", 0.05, 0.15),
-    "odd_words": ("1 - n_plain / n_words", 0.25, 0.60),
+    "odd_words": ("1 - n_plain / n_words", 0.25, 0.40),
     "word_length": ("abs(word_chars / n_words - 6.0)", 3.0, 5.0),
 }
 
