@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotewise.llm import pii, quality, secrets, simhash
+from lotewise.llm import packing, pii, quality, secrets, simhash
 from lotewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,8 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(quality.judged(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
