@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lotewise.llm import packing, pii, quality, secrets, simhash
-from lotewise.llm.common import table
+from lotewise.llm import packing, pii, quality, secrets, simhash, toxicity
+from lotewise.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,3 +42,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = bucket_of(F.col("doc_id"), 3) == 1
+    labels = table(spark, sf_dir, "labels").filter(~held_out)
+    scored = toxicity.score_documents(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "toxic_sentences")
