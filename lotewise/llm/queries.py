@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotewise.llm import packing, pii, quality, secrets, simhash, toxicity
+from lotewise.llm import embedding_dedup, packing, pii, quality, secrets, simhash, toxicity
 from lotewise.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").filter(~held_out)
     scored = toxicity.score_documents(table(spark, sf_dir, "documents"), labels)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "toxic_sentences")
+
+
+@query
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
