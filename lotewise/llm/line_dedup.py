@@ -138,7 +138,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     joined = many_to_one(keyed, found, ["__doc", "__key"], "left")
 
     def without(parts: Column) -> Column:
-        runs = repeated(hashes(parts), word_counts(parts), F.col("__over"))
+        runs = let(hashes(parts), lambda h: let(word_counts(parts), lambda w: repeated(h, w, F.col("__over"))))
         return let(
             runs,
             lambda r: F.filter(parts, lambda x, i: ~F.exists(r, lambda run: (run["start"] <= i) & (i < run["end"]))),
