@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotewise.llm import embedding_dedup, line_dedup, lm_scoring, packing, pii, quality, secrets, simhash, toxicity
+from lotewise.llm import (
+    embedding_dedup,
+    line_dedup,
+    lm_scoring,
+    packing,
+    pii,
+    quality,
+    secrets,
+    sentencepiece_codec,
+    simhash,
+    toxicity,
+)
 from lotewise.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +76,8 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_texts(table(spark, sf_dir, "documents"), bucket_of(F.col("doc_id"), 10) == 0)
+
+
+@query
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.round_trip(table(spark, sf_dir, "documents"))
