@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-PER_LABEL = 3000
+PER_LABEL = 2000
 SAMPLE_CHARS = 20_000
 BITS = 18
 #: From this probability on a document counts as toxic; a sentence from a half on.
@@ -53,7 +54,8 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 def sample(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> list:
-    """(toxic, doc features by sentence, weight) of the sampled documents.
+    """(toxic, features of all sentences, features in each sentence, weight) of the sampled
+    documents, the features as packed 32-bit integers.
 
     Ids are picked from the labels alone, at most `per_label` for each, so the ids that are
     sent to the documents have a fixed bound and no text is shuffled."""
@@ -67,17 +69,23 @@ def sample(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> li
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bags = []
+            flat, sizes = [], []
             for text in batch.column(1).to_pylist():
                 low = text.lower()
-                bags.append([sorted({f for w in low[a:b].split() for f in features(w)}) for a, b in sentences(low)])
-            kind = pa.list_(pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(bags, kind)], names=["toxic", "bags"])
+                bags = [sorted({f for w in low[a:b].split() for f in features(w)}) for a, b in sentences(low)]
+                flat.append(np.array([f for bag in bags for f in bag], np.int32).tobytes())
+                sizes.append(np.array([len(bag) for bag in bags], np.int32).tobytes())
+            columns = [batch.column(2), pa.array(flat, pa.binary()), pa.array(sizes, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["toxic", "flat", "sizes"])
 
     of_both = short.join(F.broadcast(picked), "doc_id").select("doc_id", "text", F.col("toxic").cast("int"))
-    rows = of_both.mapInArrow(hashed, "toxic int, bags array<array<int>>").toPandas()
-    got = rows["toxic"].value_counts().to_dict()
-    return [(t, b, sizes[t] / got[t]) for t, b in zip(rows["toxic"], rows["bags"]) if len(b)]
+    rows = of_both.mapInArrow(hashed, "toxic int, flat binary, sizes binary").toArrow().to_pylist()
+    got = Counter(r["toxic"] for r in rows)
+    return [
+        (r["toxic"], np.frombuffer(r["flat"], np.int32), np.frombuffer(r["sizes"], np.int32), sizes[r["toxic"]] / got[r["toxic"]])
+        for r in rows
+        if r["sizes"]
+    ]
 
 
 def train(rows: list, least: int = 5, rounds: int = 60, cost: float = 0.5) -> np.ndarray:
@@ -87,16 +95,16 @@ def train(rows: list, least: int = 5, rounds: int = 60, cost: float = 0.5) -> np
     `cost`, and a feature must stand in `least` toxic documents, twice as densely as in
     clean ones. So the many rare words of a small sample cannot be learnt by heart. All
     rows take part in each round; a step is scaled by how common its feature is."""
-    if {t for t, _, _ in rows} != {0, 1}:
+    if {t for t, *_ in rows} != {0, 1}:
         return np.append(np.zeros(1 << BITS), -np.inf)
-    toxic = np.array([t for t, _, _ in rows])
-    weight = np.array([x for _, _, x in rows])
-    bags = [np.asarray(b, np.int64) for _, doc, _ in rows for b in doc]
-    of_doc = np.repeat(np.arange(len(rows)), [len(doc) for _, doc, _ in rows])
-    of_bag = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
-    feature = np.concatenate(bags)
-
-    once = np.unique((of_doc[of_bag] << BITS) | feature)
+    toxic = np.array([t for t, *_ in rows])
+    weight = np.array([x for *_, x in rows])
+    of_doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(sizes) for _, _, sizes, _ in rows])
+    count = len(of_doc)
+    of_bag = np.repeat(np.arange(count, dtype=np.int32), np.concatenate([sizes for _, _, sizes, _ in rows]))
+    feature = np.concatenate([flat for _, flat, _, _ in rows])
+
+    once = np.unique((of_doc[of_bag].astype(np.int64) << BITS) | feature)
     doc, f = once >> BITS, once & ((1 << BITS) - 1)
     seen = np.bincount(f, toxic[doc] * 1.0, 1 << BITS)
     clean_seen = np.bincount(f, (1 - toxic[doc]) * weight[doc], 1 << BITS)
@@ -108,9 +116,9 @@ def train(rows: list, least: int = 5, rounds: int = 60, cost: float = 0.5) -> np
     feature, of_bag = place[feature[known]], of_bag[known]
 
     w = np.zeros(len(used))
-    constant = math.log(0.02 * len(rows) / len(bags))
+    constant = math.log(0.02 * len(rows) / count)
     for _ in range(rounds):
-        z = constant + np.bincount(of_bag, w[feature], len(bags))
+        z = constant + np.bincount(of_bag, w[feature], count)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         clean = np.exp(np.bincount(of_doc, np.log1p(-np.minimum(p, 1 - 1e-9)), len(rows)))
         # of the noisy-or: a toxic document pulls its likeliest sentences up, a clean one pushes all down
