@@ -2,18 +2,20 @@
 
 A line ends at a line feed or, so that a passage inside a long line is seen too, after a
 full stop, exclamation or question mark. Lines are compared by the hash of what stands
-between their outer white space. Fingerprints are the smaller hash of every two
-neighbouring lines, and every line of `MIN_WORDS` or more words. A run of that many words
-holds at least one of these, and the same ones wherever it stands.
+between their outer white space, and hashed again in pairs of neighbours. Fingerprints are
+the smaller of every two neighbouring pair hashes, and whatever has `MIN_WORDS` words by
+itself, a pair or a line. A run of that many words holds at least one of these, and the
+same ones wherever it stands.
 
 Every fingerprint is joined to its first place in the corpus, in the order of doc_id, text
-hash and position. The two documents are laid over each other there, the match is extended
-both ways, and each run of at least `MIN_WORDS` words on which they agree is deleted from
-the later one. Only first places are joined, so a line that stands in a third of all
-documents gives one row for each of them, never a pair.
-
-DataFrame functions alone. Nulls: a null text stays null; a null doc_id counts as larger than
-all others. Rows equal in doc_id and text are one document and get equal results. Empty
+hash and position, and the match is extended by the lines before and after, where those are
+equal too; every line of a run is within that reach of a fingerprint. Matches that share a
+line make one run, and runs of at least `MIN_WORDS` words are deleted. Only first places are
+joined, so a line that stands in a third of all documents gives one row for each of them,
+never a pair, and a match is two numbers.
+
+DataFrame functions alone. Nulls: a null text stays null; a null doc_id counts as the largest.
+Rows equal in doc_id and text are one document and get equal results. Empty
 texts have no lines. Further columns are left alone; no documents give no rows.
 """
 
@@ -30,6 +32,7 @@ LINE = r"[^\n.!?]*+[\n.!?]++[\x20\t\r]*+|[^\n.!?]++"
 BLANK = " \t\r\n\x0b\x0c"
 WORDS = r"[^\x20\x09-\x0D]++"
 MIN_WORDS = 25
+LAST = (1 << 63) - 1
 
 
 def lines(text: Column) -> Column:
@@ -46,113 +49,95 @@ def word_counts(parts: Column) -> Column:
 
 
 def fingerprints(hashed: DataFrame) -> DataFrame:
-    """(h, doc, key, at) of the selected lines of `hashed` (doc, key, h, w)."""
-
-    def selected(h: Column, w: Column) -> Column:
-        ahead = lambda i: F.coalesce(F.get(h, i) <= F.get(h, i + 1), F.lit(False))
-        behind = lambda i: F.coalesce(F.get(h, i) <= F.get(h, i - 1), F.lit(False))
-        return F.filter(
-            F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("at"))),
-            lambda x: (F.get(w, x["at"]) > 0)
-            & (ahead(x["at"]) | behind(x["at"]) | (F.get(w, x["at"]) >= MIN_WORDS)),
-        )
-
-    return hashed.select("doc", "key", F.explode(selected(F.col("h"), F.col("w"))).alias("f")).select(
-        "f.h", "doc", "key", "f.at"
-    )
+    """(print, doc, key, at, size, before, after) of the selected places of `hashed` (doc, key,
+    h, w): the first line, how many lines, and the hashes of the lines around, cut to an int."""
 
+    def short(h: Column, i: Column) -> Column:
+        return F.get(h, i).bitwiseAND(0x7FFFFFFF).cast("int")
 
-def overlays(hashed: DataFrame) -> DataFrame:
-    """(doc, key, over) with the stretches of earlier documents to lay over each document:
-    the place where it starts there, and the hashes from there on."""
-    prints = fingerprints(hashed)
-    place = F.struct(F.col("doc").isNull().alias("none"), "doc", "key", "at")
-    first = prints.groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    # the columns are named apart so that the two sides cannot be mixed up
-    met = many_to_one(prints, first, ["h"]).select(
-        "doc", "key", "at", F.col("first.doc").alias("f_doc"), F.col("first.key").alias("f_key"), F.col("first.at").alias("f_at")
-    )
-    later = met.filter(~(F.col("doc").eqNullSafe(F.col("f_doc")) & (F.col("key") == F.col("f_key")) & (F.col("at") == F.col("f_at"))))
-    diagonals = (
-        later.groupBy("doc", "key", "f_doc", "f_key", (F.col("f_at") - F.col("at")).alias("shift"))
-        .agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
-        .groupBy("doc", "key", "f_doc", "f_key")
-        .agg(F.collect_list(F.struct("shift", "lo", "hi")).alias("diagonals"))
-    )
-    source = hashed.select(F.col("doc").alias("f_doc"), F.col("key").alias("f_key"), "h").dropDuplicates(["f_doc", "f_key"])
-    laid = many_to_one(diagonals, source, ["f_doc", "f_key"])
-
-    def stretch(d: Column) -> Column:
-        start = F.greatest(d["lo"] - MIN_WORDS, -d["shift"], F.lit(0))
+    def place(h: Column, i: Column, size: int, name: Column) -> Column:
         return F.struct(
-            start.alias("start"),
-            F.slice("h", start + d["shift"] + 1, d["hi"] - start + 1 + MIN_WORDS).alias("h"),
-        )
-
-    return (
-        laid.select("doc", "key", F.transform("diagonals", stretch).alias("over"))
-        .groupBy("doc", "key")
-        .agg(F.flatten(F.collect_list("over")).alias("over"))
+            name.alias("print"), i.alias("at"), F.lit(size).alias("size"),
+            short(h, i - 1).alias("before"), short(h, i + size).alias("after"),
+        )
+
+    def pairs(h: Column, w: Column) -> Column:
+        twice = F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + 1)))
+
+        def least(g: Column) -> Column:
+            last = F.size(g) - 2  # the last line has no partner
+            words = lambda i: F.get(w, i) + F.get(w, i + 1)
+            ahead = lambda i: (i < last) & (F.get(g, i) <= F.get(g, i + 1))
+            behind = lambda i: (i > 0) & (F.get(g, i) <= F.get(g, i - 1))
+            chosen = F.filter(
+                F.sequence(F.lit(0), last),
+                lambda i: (words(i) > 0) & (ahead(i) | behind(i) | (words(i) >= MIN_WORDS)),
+            )
+            return F.transform(chosen, lambda i: place(h, i, 2, F.get(g, i)))
+
+        return let(twice, least)
+
+    h, w = F.col("h"), F.col("w")
+    long = F.transform(
+        F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: F.get(w, i) >= MIN_WORDS),
+        lambda i: place(h, i, 1, F.get(h, i)),
     )
+    chosen = F.when(F.size(h) > 1, F.concat(pairs(h, w), long)).otherwise(long)
+    return hashed.select("doc", "key", F.explode(chosen).alias("f")).select("f.*", "doc", "key")
 
 
-INTERVALS = "array<struct<start:int,end:int>>"
+RANGES = "array<struct<start:int,end:int>>"
 
 
-def repeated(h: Column, w: Column, over: Column) -> Column:
-    """The runs (start, end exclusive) on which a document agrees with one of `over`."""
+def matches(hashed: DataFrame) -> DataFrame:
+    """(doc, key, ranges): the stretches of a document that stand, each as a whole, in an
+    earlier place."""
+    prints = fingerprints(hashed)
+    place = F.struct("doc", "key", "at", "before", "after")
+    first = prints.groupBy("print").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    met = many_to_one(prints, first, ["print"]).filter(
+        ~((F.col("doc") == F.col("first.doc")) & (F.col("key") == F.col("first.key")) & (F.col("at") == F.col("first.at")))
+    )
+    before = F.coalesce((F.col("before") == F.col("first.before")).cast("int"), F.lit(0))
+    after = F.coalesce((F.col("after") == F.col("first.after")).cast("int"), F.lit(0))
+    found = F.struct((F.col("at") - before).alias("start"), (F.col("at") + F.col("size") + after).alias("end"))
+    return met.select("doc", "key", found.alias("range")).groupBy("doc", "key").agg(F.collect_list("range").alias("ranges"))
+
 
-    def runs(stretch: Column) -> Column:
-        empty = F.struct(
-            stretch["start"].alias("start"), stretch["start"].alias("at"), F.lit(0).alias("words"),
-            F.array().cast(INTERVALS).alias("found"),
-        )
+def repeated(w: Column, ranges: Column) -> Column:
+    """The runs (start, end exclusive) to delete: ranges that share a line put together, of
+    enough words by `w`."""
+    empty = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"), F.array().cast(RANGES).alias("found"))
 
-        def close(s: Column) -> Column:
-            run = F.array(F.struct(s["start"].alias("start"), s["at"].alias("end")))
-            return F.when(s["words"] >= MIN_WORDS, F.concat(s["found"], run)).otherwise(s["found"])
-
-        def step(s: Column, x: Column) -> Column:
-            same = F.coalesce(F.get(h, s["at"]) == x, F.lit(False))
-            after = s["at"] + 1
-            return F.struct(
-                F.when(same, s["start"]).otherwise(after).alias("start"),
-                after.alias("at"),
-                F.when(same, s["words"] + F.coalesce(F.get(w, s["at"]), F.lit(0))).otherwise(0).alias("words"),
-                F.when(same, s["found"]).otherwise(close(s)).alias("found"),
-            )
+    def close(s: Column) -> Column:
+        words = F.aggregate(F.slice(w, s["start"] + 1, s["end"] - s["start"]), F.lit(0), lambda a, x: a + x)
+        run = F.array(F.struct(s["start"].alias("start"), s["end"].alias("end")))
+        return F.when(words >= MIN_WORDS, F.concat(s["found"], run)).otherwise(s["found"])
 
-        return F.aggregate(stretch["h"], empty, step, close)
+    def step(s: Column, x: Column) -> Column:
+        joined = F.struct(s["start"].alias("start"), F.greatest(s["end"], x["end"]).alias("end"), s["found"].alias("found"))
+        fresh = F.struct(x["start"].alias("start"), x["end"].alias("end"), close(s).alias("found"))
+        return F.when(x["start"] < s["end"], joined).otherwise(fresh)
 
-    return F.flatten(F.transform(over, runs))
+    return F.aggregate(F.sort_array(ranges), empty, step, close)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """`docs` with repeated runs deleted from `text`, and `n_lines`, `n_deleted`, the lines
-    a document had and has lost."""
-    named = docs.select(F.col("doc_id").alias("doc"), text_key(F.col("text")).alias("key"), "text").filter("text <> ''")
-    cut = named.select("doc", "key", lines(F.col("text")).alias("parts"))
-    hashed = keep(cut.select("doc", "key", hashes(F.col("parts")).alias("h"), word_counts(F.col("parts")).alias("w")), "lines")
-    keyed = docs.withColumns({"__doc": F.col("doc_id"), "__key": text_key(F.col("text"))})
-    found = overlays(hashed).select(F.col("doc").alias("__doc"), F.col("key").alias("__key"), F.col("over").alias("__over"))
-    joined = many_to_one(keyed, found, ["__doc", "__key"], "left")
-
-    def without(parts: Column) -> Column:
-        runs = let(hashes(parts), lambda h: let(word_counts(parts), lambda w: repeated(h, w, F.col("__over"))))
-        return let(
-            runs,
-            lambda r: F.filter(parts, lambda x, i: ~F.exists(r, lambda run: (run["start"] <= i) & (i < run["end"]))),
-        )
-
-    def result(parts: Column) -> Column:
-        left = F.when(F.col("__over").isNull(), parts).otherwise(let(parts, without))
-        return let(left, lambda x: F.struct(F.array_join(x, "").alias("text"), F.size(x).alias("left")))
-
-    parts = lines(F.coalesce(F.col("text"), F.lit("")))
-    done = joined.withColumn(
-        "__done", let(parts, lambda p: F.struct(F.size(p).alias("lines"), result(p).alias("kept")))
-    )
-    text = F.when(F.col("text").isNotNull(), F.col("__done.kept.text"))
-    columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    lost = F.col("__done.lines") - F.col("__done.kept.left")
-    return done.select(*columns, F.col("__done.lines").alias("n_lines"), lost.alias("n_deleted"))
+    """`docs` with repeated runs deleted from `text`, and `n_deleted`, the lines it has lost."""
+    doc, key = F.coalesce(F.col("doc_id"), F.lit(LAST)), text_key(F.col("text"))
+    parts = lines(F.col("text"))
+    counted = let(parts, lambda p: F.struct(hashes(p).alias("h"), word_counts(p).alias("w")))
+    hashed = docs.filter("text <> ''").select(doc.alias("doc"), key.alias("key"), counted.alias("c"))
+    found = matches(keep(hashed.select("doc", "key", "c.h", "c.w"), "lines"))
+    named = found.select(F.col("doc").alias("__doc"), F.col("key").alias("__key"), F.col("ranges").alias("__ranges"))
+    joined = many_to_one(docs.withColumns({"__doc": doc, "__key": key}), named, ["__doc", "__key"], "left")
+
+    def without(p: Column, runs: Column) -> Column:
+        kept = F.filter(p, lambda x, i: ~F.exists(runs, lambda r: (r["start"] <= i) & (i < r["end"])))
+        return let(kept, lambda k: F.struct(F.array_join(k, "").alias("text"), (F.size(p) - F.size(k)).alias("n")))
+
+    changed = let(parts, lambda p: let(word_counts(p), lambda w: let(repeated(w, F.col("__ranges")), lambda r: without(p, r))))
+    same = F.struct(F.col("text").alias("text"), F.lit(0).alias("n"))
+    done = joined.withColumn("__done", F.when(F.col("__ranges").isNull(), same).otherwise(changed))
+    columns = [F.col("__done.text").alias("text") if c == "text" else F.col(c) for c in docs.columns]
+    return done.select(*columns, F.col("__done.n").alias("n_deleted"))
