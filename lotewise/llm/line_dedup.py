@@ -12,11 +12,12 @@ hash and position, and the match is extended by the lines before and after, wher
 equal too; every line of a run is within that reach of a fingerprint. Matches that share a
 line make one run, and runs of at least `MIN_WORDS` words are deleted. Only first places are
 joined, so a line that stands in a third of all documents gives one row for each of them,
-never a pair, and a match is two numbers.
+never a pair, and a match is two numbers. Where the first place of a fingerprint has other
+lines put in between, the run is taken there for two, each of which goes if it has the words.
 
 DataFrame functions alone. Nulls: a null text stays null; a null doc_id counts as the largest.
-Rows equal in doc_id and text are one document and get equal results. Empty
-texts have no lines. Further columns are left alone; no documents give no rows.
+Rows equal in doc_id and text (in 31 bits of its hash, among rows of one id) are one document
+and get equal results. Empty texts have no lines. Further columns are left alone; no documents give no rows.
 """
 
 from __future__ import annotations
@@ -124,7 +125,8 @@ def repeated(w: Column, ranges: Column) -> Column:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """`docs` with repeated runs deleted from `text`, and `n_deleted`, the lines it has lost."""
-    doc, key = F.coalesce(F.col("doc_id"), F.lit(LAST)), text_key(F.col("text"))
+    doc = F.coalesce(F.col("doc_id"), F.lit(LAST))
+    key = text_key(F.col("text")).bitwiseAND(0x7FFFFFFF).cast("int")  # tells rows of one id apart
     parts = lines(F.col("text"))
     counted = let(parts, lambda p: F.struct(hashes(p).alias("h"), word_counts(p).alias("w")))
     hashed = docs.filter("text <> ''").select(doc.alias("doc"), key.alias("key"), counted.alias("c"))
