@@ -11,7 +11,6 @@ from lotewise.functions.places import address_parts, coordinates
 from lotewise.functions.text import join_list, split_list
 from lotewise.operators.normalise import fill_not_applicable, normalise
 from lotewise.registry.base import query, table
-from lotewise.session import spread
 
 
 def printed_money(col: str) -> Column:
@@ -42,7 +41,7 @@ def printed_numbers(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity"
     )
-    lineitem = spread(lines).select(
+    lineitem = lines.select(
         F.lit("lineitem").alias("origem"),
         F.col("l_orderkey").alias("k1"),
         F.col("l_linenumber").alias("k2"),

@@ -58,12 +58,3 @@ def keep(df: DataFrame, purpose: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows spread over all cores when the files they come from are too few for them.
-
-    For input that costly row work (parsing, splitting texts) follows. With more
-    files than cores, as on any large table, the rows stay where they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
