@@ -9,15 +9,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotewise.functions.numbers import unit_value
+from lotewise.functions.text import fold
 from lotewise.operators.coordinates import geocode_cached, merge_coordinates, needs_coordinate
 from lotewise.operators.extraction import SAMPLE_HEADING, legacy_fields
 from lotewise.operators.joins import many_to_one
 from lotewise.operators.layout import (
+    cells,
     cluster_lines,
-    grid_fields,
-    line_texts,
+    fields_of_cells,
     resolve_labels,
     route_layout,
+    texts_of_cells,
 )
 from lotewise.operators.load import Check, staged_gate
 from lotewise.operators.normalise import fill_not_applicable, normalise
@@ -31,7 +33,7 @@ from lotewise.operators.ranking import running_total
 from lotewise.operators.selection import split_excluded
 from lotewise.plans import form
 from lotewise.schemas import REPORT_KEY, REPORTS, SAMPLE_KEY, SAMPLES
-from lotewise.session import shared_dir
+from lotewise.session import keep, shared_dir
 from lotewise.sources import snapshot
 from lotewise.sources.catalog import stored_form
 
@@ -56,15 +58,19 @@ def extract(
 ) -> Extracted:
     """Words of the pages to typed reports and samples.
 
+    The words are read and shuffled once, into cells in the shared folder; the printed fields
+    of the reports are kept there too, so that what is excluded, the failures and the samples do
+    not read them anew.
+
     `options` (codigo_laudo, grupo, opcoes) are the ticked boxes of digital reports;
     `legacy` the patterns for layouts that have no grid.
     """
-    lined = cluster_lines(words)
-    lines = line_texts(lined)
+    joined = keep(cells(cluster_lines(words)), "cells")
+    lines = texts_of_cells(joined)
     models = route_layout(
         lines, "codigo_laudo", "text", form.COVER_MARKER, form.FORM_FIELD
     )
-    printed = grid_fields(lined, [label for label, _, _ in form.COVER])
+    printed = fields_of_cells(joined, [label for label, _, _ in form.COVER])
     cover = resolve_labels(printed, form.COVER)
     fields = list(dict.fromkeys(field for _, field, _ in form.COVER))
     raw = models.join(
@@ -74,11 +80,12 @@ def extract(
     )
     if legacy:
         raw = _with_legacy(raw, lines, models, legacy, fields)
+    raw = keep(raw, "printed")
     typed, failures = normalise(raw, {f: k for f, k in form.KINDS.items() if f in fields})
     if options is not None:
         typed = _with_options(typed, options)
     reports = _as(REPORTS, _spread_out(typed))
-    kept, excluded = split_excluded(reports, F.col("tipo") == form.MULTIPLE_UNITS)
+    kept, excluded = split_excluded(reports, fold("tipo") == fold(F.lit(form.MULTIPLE_UNITS)))
     left_out = excluded.select("codigo_laudo")
     samples = many_to_one(_samples(lines), left_out, ["codigo_laudo"], "left_anti")
     return Extracted(kept, samples, excluded.select("codigo_laudo"), failures)
@@ -221,9 +228,9 @@ def load(
     raises before anything is written to the tables. The samples of a report that
     is read again replace the old ones.
     """
-    reports, samples = for_storage(batch.reports, batch.samples)
-    staged, _ = staged_gate(reports, checks(), shared_dir(spark, "staged-reports"), ignore)
-    staged_samples, _ = staged_gate(samples, [], shared_dir(spark, "staged-samples"), ignore)
+    staged, _ = staged_gate(batch.reports, checks(), shared_dir(spark, "staged-reports"), ignore)
+    staged_samples, _ = staged_gate(batch.samples, [], shared_dir(spark, "staged-samples"), ignore)
+    staged, staged_samples = for_storage(staged, staged_samples)
     return snapshot.load_batch(
         spark,
         path,
@@ -250,10 +257,10 @@ def plan_photos(photos: DataFrame, models: DataFrame, existing: DataFrame) -> Da
     """
     routed = many_to_one(classify_caption(photos), models, ["codigo_laudo"])
     chosen = select_photos(routed)
-    plan = photo_plan(chosen, existing, checked=photos)
+    plan = photo_plan(chosen, existing, checked=routed)
     key = ["codigo_laudo", "sha256", "label"]
     new = chosen.join(plan.filter("action = 'add'").select(*key), key, "left_semi")
-    named = name_photos(new, existing.select("file_name")).select(*key, "file_name")
+    named = name_photos(new, existing.select("codigo_laudo", "file_name")).select(*key, "file_name")
     return plan.join(named, key, "left").select(
         *key, "action", F.coalesce("target", "file_name").alias("target")
     )

@@ -18,7 +18,6 @@ from lotewise.operators.layout import (
     route_layout,
 )
 from lotewise.registry.base import query, table
-from lotewise.session import spread
 
 MODEL_SQL = """case when not contains(text, chr(10)) then 'legacy'
                     when contains(text, 'License') then 'fisico' else 'digital' end"""
@@ -31,7 +30,7 @@ def models(spark, sf):
 
 def document_words(spark, sf):
     """Documents as printed pages of 50 lines, 12 points apart, words a little uneven."""
-    lines = spread(table(spark, sf, "documents").select("doc_id", "text")).select(
+    lines = table(spark, sf, "documents").select("doc_id", "text").select(
         F.col("doc_id").cast("string").alias("codigo_laudo"),
         F.posexplode(F.split("text", "\n")).alias("i", "row"),
     )
@@ -84,10 +83,16 @@ def order_words(spark, sf):
                 )
             )
             for y, value in ((100.0, F.lit(label)), (115.0, col))
-        )
+        ),
+        # the last value runs on over a second line
+        F.struct(
+            F.lit(400.0).alias("x"),
+            F.lit(130.0).alias("y"),
+            F.concat(F.lit("pedido "), F.col("o_orderkey").cast("string")).alias("phrase"),
+        ),
     )
     orders = table(spark, sf, "orders").drop("o_custkey", "o_orderdate")
-    phrases = spread(orders).select(
+    phrases = orders.select(
         F.col("o_orderkey").cast("string").alias("codigo_laudo"), F.explode(cells).alias("c")
     )
     words = phrases.select(
@@ -117,7 +122,8 @@ def order_words(spark, sf):
     """select cast(o_orderkey as varchar) as codigo_laudo, 'valor total' as label,
               cast(cast(o_totalprice as decimal(18,2)) as varchar) as value from orders
        union all select cast(o_orderkey as varchar), 'situacao', o_orderstatus from orders
-       union all select cast(o_orderkey as varchar), 'prioridade', o_orderpriority from orders""",
+       union all select cast(o_orderkey as varchar), 'prioridade',
+                        o_orderpriority || ' pedido ' || o_orderkey from orders""",
 )
 def grid(spark, sf):
     lined = cluster_lines(order_words(spark, sf))
@@ -183,7 +189,7 @@ PATTERNS = {
         from (select doc_id, text, {MODEL_SQL} as modelo from documents)""",
 )
 def from_running_text(spark, sf):
-    documents = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    documents = table(spark, sf, "documents").select("doc_id", "text")
     routed = documents.join(models(spark, sf), "doc_id")
     return legacy_fields(routed, "text", PATTERNS)
 
@@ -208,7 +214,7 @@ def samples(spark, sf):
         F.lit("Dados de mercado\n"),
         F.array_join(F.transform(F.split("text", "\n"), headed), "\n"),
     )
-    documents = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    documents = table(spark, sf, "documents").select("doc_id", "text")
     printed = documents.select("doc_id", text.alias("texto"))
     return explode_samples(printed, "texto")
 
