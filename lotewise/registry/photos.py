@@ -84,14 +84,14 @@ def real_photos(spark, sf):
 @query(
     "pick_facade",
     """with p as (select l_orderkey as codigo_laudo, l_linenumber as page, l_partkey as pos,
-                        l_extendedprice as size, l_returnflag = 'A' as labelled,
+                        case when l_partkey % 7 <> 0 then l_extendedprice end as size, l_returnflag = 'A' as labelled,
                         o_orderstatus = 'F' as fisico
                  from lineitem join orders on l_orderkey = o_orderkey),
             c as (select *, 'caption' as via, row_number() over (
                     partition by codigo_laudo order by page, pos) as rk from p where labelled),
             l as (select *, 'page 1' as via, row_number() over (
                     partition by codigo_laudo order by size desc, pos) as rk from p
-                  where fisico and page = 1)
+                  where fisico and page = 1 and size is not null)
        select codigo_laudo, page, pos, via from c where rk = 1
        union all select codigo_laudo, page, pos, via from l
        where rk = 1 and codigo_laudo not in (select codigo_laudo from c)""",
@@ -107,7 +107,7 @@ def facades(spark, sf):
             F.col("l_orderkey").alias("codigo_laudo"),
             F.col("l_linenumber").alias("page"),
             F.col("l_partkey").alias("pos"),
-            F.col("l_extendedprice").alias("width"),
+            F.when(F.col("l_partkey") % 7 != 0, F.col("l_extendedprice")).alias("width"),
             F.lit(1.0).alias("height"),
             F.when(F.col("l_returnflag") == "A", "fachada").otherwise("sala").alias("label"),
         )
