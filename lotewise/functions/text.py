@@ -11,9 +11,10 @@ PLAIN = "aaaaaeeeeiiiiooooouuuucn"
 
 
 def fold(col: Column | str) -> Column:
-    """Lower case, no accents, outer spaces gone, inner runs of spaces made one."""
+    """Lower case, no accents, outer spaces gone, inner runs of spaces made one;
+    no-break spaces are spaces."""
     text = col if isinstance(col, Column) else F.col(col)
-    return F.translate(F.lower(F.trim(F.regexp_replace(text, r"\s+", " "))), ACCENTED, PLAIN)
+    return F.translate(F.lower(F.trim(F.regexp_replace(text, r"[\s\u00A0\u202F\u2007]+", " "))), ACCENTED, PLAIN)
 
 
 def fold_label(col: Column | str) -> Column:

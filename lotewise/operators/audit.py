@@ -19,9 +19,9 @@ ERROR = "extraction error"
 
 
 def _agree(a: Column, b: Column, kind: str, tolerance: float) -> Column:
-    """Never NULL: two values agree only when both are there."""
+    """Never NULL: two values agree only when both are there and can be read."""
     if kind == NUMBER:
-        gap = F.abs(a.cast(_COMPARED_AS) - b.cast(_COMPARED_AS))
+        gap = F.abs(a.try_cast(_COMPARED_AS) - b.try_cast(_COMPARED_AS))
         same = gap <= F.lit(str(tolerance)).cast(_COMPARED_AS)
     else:
         same = fold(a.cast("string")) == fold(b.cast("string"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lotewise.operators.quality import empty_fields
 from lotewise.plans.first_load import load_lines
 from lotewise.registry.base import query, table
-from lotewise.registry.coordinates import GEOCODE_SQL, gazetteer, reports
+from lotewise.registry.coordinates import CUSTOMERS, GEOCODE_SQL, gazetteer, reports
 from lotewise.registry.load import LINE_KEY, UPSERT_SQL, shipped_split
 from lotewise.operators.load import Check
 from lotewise.session import shared_dir
@@ -62,7 +62,12 @@ def events_as_they_come(spark, sf):
     return snapshot.read_table(spark, f"{base}/out", "eventos", events.schema)
 
 
-@query("geocode_new", GEOCODE_SQL)
+LACKING_SQL = GEOCODE_SQL.replace(
+    f"({CUSTOMERS})", f"(select * from ({CUSTOMERS}) where c_acctbal <= 5000 or c_acctbal is null)"
+)
+
+
+@query("geocode_new", LACKING_SQL)
 def addresses_as_they_come(spark, sf):
     base = shared_dir(spark, "geocode-new")
     asked = reports(spark, sf)

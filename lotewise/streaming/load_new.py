@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from lotewise.operators.coordinates import geocode, unanswered
+from lotewise.operators.coordinates import geocode, needs_coordinate, unanswered
 from lotewise.operators.load import Check, staged_gate
 from lotewise.session import shared_dir
 from lotewise.sources import snapshot
+from lotewise.sources.files import exists
 
 
 def _run_available(
@@ -86,16 +86,17 @@ def geocode_new(
     gazetteer: Callable[[SparkSession], DataFrame],
     files_per_batch: int | None = None,
 ) -> None:
-    """H2: looks up the addresses of files not taken yet and keeps every answer.
+    """H2: looks up the addresses of reports not taken yet that lack a coordinate; keeps every answer.
 
-    The cache is a folder of appended Parquet, one subfolder per batch, overwritten
+    Rows without a `latitude` column are addresses to ask for. The cache is a folder of appended Parquet, one subfolder per batch, overwritten
     if that batch is repeated; addresses answered before are not asked again.
     """
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         known = read_cache(session, cache_dir, before=batch_id)
-        new = geocode(unanswered(batch, known), gazetteer(session))
+        asked = needs_coordinate(batch) if "latitude" in batch.columns else batch
+        new = geocode(unanswered(asked, known), gazetteer(session))
         new.write.mode("overwrite").parquet(f"{cache_dir}/batch={batch_id}")
 
     _run_available(spark, in_dir, schema, checkpoint, per_batch, files_per_batch)
@@ -104,10 +105,9 @@ def geocode_new(
 def read_cache(spark: SparkSession, cache_dir: str, before: int | None = None) -> DataFrame:
     """The answers kept so far; `before` leaves out a batch that is being repeated."""
     full = f"{CACHE_SCHEMA}, batch long"
-    try:
-        cache = spark.read.schema(full).parquet(cache_dir)
-    except AnalysisException:  # no cycle ran yet
+    if not exists(spark, cache_dir):  # no cycle ran yet
         return spark.createDataFrame([], CACHE_SCHEMA)
+    cache = spark.read.schema(full).parquet(cache_dir)
     if before is not None:
         cache = cache.filter(cache["batch"] < before)
     return cache.drop("batch")
