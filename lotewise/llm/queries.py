@@ -11,6 +11,7 @@ from lotewise.llm import (
     embedding_dedup,
     line_dedup,
     lm_scoring,
+    oracle,
     packing,
     pii,
     quality,
@@ -22,7 +23,7 @@ from lotewise.llm import (
 from lotewise.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_embedding_near_dedup": oracle.EMBEDDINGS}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
