@@ -7,8 +7,8 @@ from __future__ import annotations
 EMBEDDINGS = """
 with recursive v as (select vec_id, label, embedding::double[] as e from embeddings),
   sound as (select * from v where label is not null and len(e) > 0
-            and len(list_filter(e, x -> x is null or isnan(x) or isinf(x))) = 0
-            and len(list_filter(e, x -> x <> 0)) > 0),
+            and len(list_filter(e, lambda x: x is null or isnan(x) or isinf(x))) = 0
+            and len(list_filter(e, lambda x: x <> 0)) > 0),
   links as (select a.vec_id as a, b.vec_id as b from sound a
             join sound b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
             where list_cosine_similarity(a.e, b.e) >= 0.98),
