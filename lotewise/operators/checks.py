@@ -20,9 +20,9 @@ def foreign_text(
     """(key, label_key) wherever `value` contains the whole text of a label.
 
     Works for label lists of any size (a label must have a non-space character). A
-    label is looked up by one piece that any text holding it must have: its longest
-    inner word, or, when it has no word between others, its longest word as a part
-    of a word. Only texts and labels that share such a piece meet, in an equi-join,
+    label is looked up by one piece that any text holding it must have: of its inner words
+    the one that the fewest texts hold, so that a common word never makes all texts meet all
+    labels; or, when it has no word between others, its longest word as a part of a word. Only texts and labels that share such a piece meet, in an equi-join,
     and the containment is then tested on the whole text.
     """
     tokens = F.filter(F.split(F.col(label), r"\s+"), lambda t: t != "")
@@ -36,17 +36,26 @@ def foreign_text(
         lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best),
     )
     pieces = labels.filter(F.col(label).rlike(r"\S")).select(
-        F.col(label_key).alias("__lk"),
-        (F.size(inner) > 0).alias("__whole"),
-        longest(F.when(F.size(inner) > 0, inner).otherwise(tokens)).alias("__piece"),
+        F.col(label_key).alias("__lk"), inner.alias("__inner"), longest(tokens).alias("__piece")
     )
-    by_word = pieces.filter("__whole").drop("__whole")
-    by_part = pieces.filter("NOT __whole").drop("__whole")
+    by_part = pieces.filter("size(__inner) = 0").select("__lk", "__piece")
 
     words = df.select(
         F.col(key).alias("__k"),
         F.explode(F.array_distinct(F.split(F.col(value), r"\s+"))).alias("__piece"),
     )
+    inside = pieces.select("__lk", F.explode(F.array_distinct("__inner")).alias("__piece"))
+    held = (
+        words.join(inside.select("__piece").distinct(), "__piece", "left_semi")
+        .groupBy("__piece")
+        .agg(F.count(F.lit(1)).alias("__n"))
+    )
+    # a label with an inner word that no text holds is in no text
+    by_word = (
+        inside.join(held, "__piece", "left")
+        .groupBy("__lk")
+        .agg(F.min_by("__piece", F.struct(F.coalesce("__n", F.lit(0)), "__piece")).alias("__piece"))
+    )
     candidates = words.join(by_word, "__piece").select("__k", "__lk")
     # parts of words, only of the lengths some label asks for
     lengths = by_part.agg(F.collect_set(F.length("__piece")).alias("n")).head()["n"]

@@ -48,13 +48,13 @@ def incoherent_values(df: DataFrame, key: Sequence[str], rules: dict[str, Column
 def outliers(df: DataFrame, value: str, by: Sequence[str], fence: float = 1.5) -> DataFrame:
     """Rows outside the quartile fences of their group, with the fences.
 
-    The quartiles are exact. The rows are kept once in the shared folder, as they
-    are gone over four times; the fences (one row per group) join back to them. NULL
+    The quartiles are exact. Group and value alone are kept in the shared folder, as they
+    are gone over three times; the fences (one row per group) join back to the rows. NULL
     groups are judged together.
     """
     by = list(by)
-    df = keep(df, "outliers")
-    q = exact_quantiles(df, by, value, {"q1": 0.25, "q3": 0.75})
+    narrow = keep(df.select(*by, value), "outliers")
+    q = exact_quantiles(narrow, by, value, {"q1": 0.25, "q3": 0.75})
     spread = F.col("q3") - F.col("q1")
     fences = q.select(
         *by,

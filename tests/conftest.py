@@ -5,6 +5,10 @@ import pytest
 from lotewise.session import build_session
 
 
+def pytest_configure(config):
+    config.addinivalue_line("markers", "queries: builds or runs the registered queries (slow)")
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     warehouse = tmp_path_factory.mktemp("warehouse")

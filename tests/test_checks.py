@@ -80,3 +80,17 @@ def test_three_outcomes(spark, rows):
     assert rows(accuracy_by_field(got)) == [("n", 4, 1, 1, 2, 0.5), ("t", 3, 2, 1, 0, 1.0)]
     with pytest.raises(ValueError):
         reconcile(stored, printed, second, ["k"], {"n": "date"}, ["a"])
+
+
+def test_a_common_word_brings_no_text_and_label_together(spark, rows):
+    from lotewise.operators.checks import foreign_text
+
+    texts = [(str(i), f"start with apartment number {i} here") for i in range(200)]
+    texts.append(("hit", "see also apartment river seven close by"))
+    labels = [(str(i), f"the apartment odd{i} end") for i in range(50)] + [("l", "also apartment river seven close")]
+    found = foreign_text(
+        spark.createDataFrame(texts, "k string, v string"), "k", "v",
+        spark.createDataFrame(labels, "lk string, label string"), "lk", "label",
+    )
+    assert rows(found, "k", "lk") == [("hit", "l")]
+    found.collect()
