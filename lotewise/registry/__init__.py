@@ -11,6 +11,7 @@ from lotewise.registry import (  # noqa: F401
     normalisation,
     photos,
     selection,
+    whole,
 )
 from lotewise.registry.base import ORACLE, QUERIES
 

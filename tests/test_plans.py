@@ -173,3 +173,13 @@ def test_audit_of_drawn_reports(spark, rows):
     assert rows(wrong, "codigo_laudo", "outcome") == [("7", "inconsistent report")]
     assert verdict.head()["verdict"] == "may run"
     assert accuracy_audit(stored, stored, second, {"v": "number"}, ["a"], n=10)[0].head()["n_comparable"] == 10
+
+
+def test_words_are_read_once_for_all_outputs(spark, words, tmp_path):
+    path = str(tmp_path / "positioned-words")
+    words.write.parquet(path)
+    batch = extract(spark.read.parquet(path), legacy=LEGACY)
+    for output in (batch.reports, batch.samples, batch.excluded, batch.failures):
+        plan = output._jdf.queryExecution().executedPlan().toString()
+        assert "positioned-words" not in plan
+        assert output.count() >= 0
