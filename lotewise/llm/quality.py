@@ -14,7 +14,7 @@ and memory per row grow with its text; nothing is shuffled but the counts.
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,17 +28,27 @@ SYMBOLS = "[#*$%&|<>]"
 PLAIN = r"(?<![^\x20\x09-\x0D])[\p{L}\p{N}'-]++[.,;:!?]?+(?![^\x20\x09-\x0D])"
 KEEP = 0.5
 
+
+
+def _share(part: str, whole: str) -> Callable:
+    return lambda q: q[part] / F.greatest(q[whole], F.lit(1))
+
+
 #: Rule: (measure, votes good up to, votes bad from); between the two it abstains.
-RULES: dict[str, tuple[str, float, float]] = {
-    "repeated_words": ("n_repeat_words / n_words", 0.15, 0.30),
-    "symbols": ("n_symbols / n_words", 0.05, 0.20),
-    "dup_lines": ("n_dup_lines / greatest(n_lines, 1)", 0.10, 0.50),
-    "capitals": ("n_capitals / greatest(n_letters, 1)", 0.20, 0.50),
-    "exclaimed": ("n_exclaimed / n_words", 0.05, 0.20),
-    "same_word": ("n_same / n_words", 0.05, 0.15),
-    "odd_words": ("1 - n_plain / n_words", 0.25, 0.40),
-    "word_length": ("abs(word_chars / n_words - 6.0)", 3.0, 5.0),
+RULES: dict[str, tuple[Callable, float, float]] = {
+    "repeated_words": (_share("n_repeat_words", "n_words"), 0.15, 0.30),
+    "symbols": (_share("n_symbols", "n_words"), 0.05, 0.20),
+    "dup_lines": (_share("n_dup_lines", "n_lines"), 0.10, 0.50),
+    "capitals": (_share("n_capitals", "n_letters"), 0.20, 0.50),
+    "exclaimed": (_share("n_exclaimed", "n_words"), 0.05, 0.20),
+    "same_word": (_share("n_same", "n_words"), 0.05, 0.15),
+    "odd_words": (lambda q: 1 - _share("n_plain", "n_words")(q), 0.25, 0.40),
+    "word_length": (lambda q: F.abs(_share("word_chars", "n_words")(q) - 6.0), 3.0, 5.0),
 }
+MEASURES = [
+    "n_words", "word_chars", "n_repeat_words", "n_same", "n_lines", "n_dup_lines",
+    "n_symbols", "n_plain", "n_exclaimed", "n_capitals", "n_letters",
+]
 
 
 def words(text: Column) -> Column:
@@ -83,48 +93,40 @@ def repeat_words(w: Column) -> Column:
     return F.when(F.size(w) >= 4, let(hashes(w), of)).otherwise(0)
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """`docs` without `text`, with the measures of each text."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+def measured(text: Column) -> Column:
+    """Struct of the `MEASURES` of a text, all longs; a null text counts as empty."""
+    text = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(WORD))
-    of_words = let(
-        words(text),
-        lambda w: F.struct(
-            F.size(w).alias("n_words"),
-            F.char_length(F.array_join(w, "")).alias("word_chars"),
-            repeat_words(w).alias("n_repeat_words"),
-            F.size(F.filter(w, lambda x, i: F.coalesce(F.get(w, i - 1) == x, F.lit(False)))).alias("n_same"),
-        ),
-    )
-    of_lines = let(lines, lambda x: F.struct(F.size(x).alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines")))
-    counted = docs.select(
-        *(c for c in docs.columns if c != "text"),
-        of_words.alias("w"),
-        of_lines.alias("l"),
-        F.regexp_count(text, F.lit(SYMBOLS)).alias("n_symbols"),
-        F.regexp_count(text, F.lit(PLAIN)).alias("n_plain"),
-        F.regexp_count(text, F.lit("!!")).alias("n_exclaimed"),
-        F.regexp_count(text, F.lit("[A-Z]")).alias("n_capitals"),
-        F.regexp_count(text, F.lit("[A-Za-z]")).alias("n_letters"),
-    )
-    names = {"w": ["n_words", "word_chars", "n_repeat_words", "n_same"], "l": ["n_lines", "n_dup_lines"]}
-    return counted.withColumns(
-        {c: F.col(f"{s}.{c}").cast("long") for s, cs in names.items() for c in cs}
-        | {c: F.col(c).cast("long") for c in ("n_symbols", "n_plain", "n_exclaimed", "n_capitals", "n_letters")}
-    ).drop("w", "l")
 
+    def of_words(w: Column) -> list[Column]:
+        same = F.filter(w, lambda x, i: F.coalesce(F.get(w, i - 1) == x, F.lit(False)))
+        return [F.size(w), F.char_length(F.array_join(w, "")), repeat_words(w), F.size(same)]
+
+    def of_lines(x: Column) -> list[Column]:
+        return [F.size(x), F.size(x) - F.size(F.array_distinct(x))]
 
-def with_votes(measured: DataFrame) -> DataFrame:
-    """Adds `votes`, one of 1, 0 and -1 for each rule; a text without words has only bad ones."""
+    counted = [F.regexp_count(text, F.lit(p)) for p in (SYMBOLS, PLAIN, "!!", "[A-Z]", "[A-Za-z]")]
 
-    def vote(rule: str, good: float, bad: float) -> Column:
-        x = F.expr(f"cast({rule} as double)")
-        return F.when(F.col("n_words") == 0, -1).when(x >= bad, -1).when(x <= good, 1).otherwise(0)
+    def whole(w: Column, x: Column) -> Column:
+        every = [*of_words(w), *of_lines(x), *counted]
+        return F.struct(*(c.cast("long").alias(n) for n, c in zip(MEASURES, every, strict=True)))
 
-    safe = {r: m.replace("/ n_words", "/ greatest(n_words, 1)") for r, (m, _, _) in RULES.items()}
-    votes = [vote(safe[r], good, bad) for r, (_, good, bad) in RULES.items()]
-    failed = F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words")
-    return measured.withColumns({"votes": F.array(*votes), "base_failed": failed})
+    return let(words(text), lambda w: let(lines, lambda x: whole(w, x)))
+
+
+def votes(q: Column) -> list[Column]:
+    """One of 1, 0 and -1 for each rule, from the measures; a text without words has only bad ones."""
+
+    def vote(measure: Callable, good: float, bad: float) -> Column:
+        x = measure(q)
+        return F.when(q["n_words"] == 0, -1).when(x >= bad, -1).when(x <= good, 1).otherwise(0)
+
+    return [vote(*rule) for rule in RULES.values()]
+
+
+def failed(q: Column) -> Column:
+    """The two fixed rules."""
+    return (q["n_words"] < 50) | (100 * q["n_repeat_words"] > 50 * q["n_words"])
 
 
 def estimate(voted: DataFrame) -> weak.Reliabilities:
@@ -132,11 +134,10 @@ def estimate(voted: DataFrame) -> weak.Reliabilities:
     return weak.estimate([(tuple(r.votes), r.n) for r in counted], len(RULES), prior=0.8, right=0.98, caught=0.3)
 
 
-def probability(model: weak.Reliabilities) -> Column:
-    """The posterior probability that a document is good, from its `votes`."""
+def probability(model: weak.Reliabilities, cast: list[Column]) -> Column:
+    """The posterior probability that a document is good, from its votes."""
     total = F.lit(model.prior)
-    for k in range(len(RULES)):
-        v = F.get("votes", F.lit(k))
+    for k, v in enumerate(cast):
         total = total + F.when(v > 0, model.when_yes[k]).when(v < 0, model.when_no[k]).otherwise(0.0)
     return 1 / (1 + F.exp(-total))
 
@@ -144,21 +145,28 @@ def probability(model: weak.Reliabilities) -> Column:
 def judged(docs: DataFrame) -> DataFrame:
     """One row for each of `docs`, without its text: the measures, `base_failed`, the
     probability of good as `p_good`, and `kept`."""
-    voted = keep(with_votes(measures(docs)), "quality")
-    scored = voted.withColumn("p_good", probability(estimate(voted)))
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("p_good") >= KEEP))
+    named = {c: f"__in_{i}" for i, c in enumerate(docs.columns) if c != "text"}
+    measures = docs.select(*(F.col(c).alias(n) for c, n in named.items()), measured(F.col("text")).alias("q"))
+    voted = keep(measures.withColumn("votes", F.array(*votes(F.col("q")))), "quality")
+    cast = [F.get("votes", F.lit(k)) for k in range(len(RULES))]
+    p_good = probability(estimate(voted), cast)
+    outside = [F.col(n).alias(c) for c, n in named.items() if c not in {*MEASURES, "base_failed", "p_good", "kept"}]
+    return voted.select(
+        *outside,
+        "q.*",
+        failed(F.col("q")).alias("base_failed"),
+        p_good.alias("p_good"),
+        (~failed(F.col("q")) & (p_good >= KEEP)).alias("kept"),
+    )
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that are kept, with their columns as they are. The texts are
     measured twice, once to estimate and once to filter, and not shuffled."""
-    named = {c: f"__in_{i}" for i, c in enumerate(docs.columns)}
-    only = docs.select(F.col("text"))
-    model = estimate(keep(with_votes(measures(only)).select("votes"), "votes"))
-    apart = docs.select(*(F.col(c).alias(n) for c, n in named.items()), F.col("text").alias("text"))
-    scored = with_votes(measures(apart)).withColumn("p_good", probability(model))
-    return scored.filter(~F.col("base_failed") & (F.col("p_good") >= KEEP)).select(
-        *(F.col(n).alias(c) for c, n in named.items())
+    text = F.col("text")
+    model = estimate(keep(docs.select(let(measured(text), lambda q: F.array(*votes(q))).alias("votes")), "votes"))
+    return docs.filter(
+        let(measured(text), lambda q: ~failed(q) & (probability(model, votes(q)) >= KEEP))
     )
 
 
