@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotewise.llm import spans
-from lotewise.llm.common import let
 from lotewise.session import keep
 
 # The patterns of the three kinds.
