@@ -33,7 +33,7 @@ from lotewise.operators.ranking import running_total
 from lotewise.operators.selection import split_excluded
 from lotewise.plans import form
 from lotewise.schemas import REPORT_KEY, REPORTS, SAMPLE_KEY, SAMPLES
-from lotewise.session import keep, shared_dir
+from lotewise.session import drop_dir, keep, shared_dir
 from lotewise.sources import snapshot
 from lotewise.sources.catalog import stored_form
 
@@ -225,13 +225,14 @@ def load(
     """Gate, then upsert of both tables in one commit; returns the stored version.
 
     Reports and samples are staged once in the shared folder; a rejected batch
-    raises before anything is written to the tables. The samples of a report that
-    is read again replace the old ones.
+    raises before anything is written to the tables, and its staging folder stays to be looked at.
+    The samples of a report that is read again replace the old ones.
     """
-    staged, _ = staged_gate(batch.reports, checks(), shared_dir(spark, "staged-reports"), ignore)
-    staged_samples, _ = staged_gate(batch.samples, [], shared_dir(spark, "staged-samples"), ignore)
+    folders = [shared_dir(spark, f"staged-{name}") for name in ("reports", "samples")]
+    staged, _ = staged_gate(batch.reports, checks(), folders[0], ignore)
+    staged_samples, _ = staged_gate(batch.samples, [], folders[1], ignore)
     staged, staged_samples = for_storage(staged, staged_samples)
-    return snapshot.load_batch(
+    version = snapshot.load_batch(
         spark,
         path,
         {REPORT_TABLE: staged, SAMPLE_TABLE: staged_samples},
@@ -239,6 +240,9 @@ def load(
         "codigo_laudo",
         replaced={SAMPLE_TABLE: staged.select("codigo_laudo")},
     )
+    for folder in folders:
+        drop_dir(spark, folder)
+    return version
 
 
 def stored_tables(spark: SparkSession, path: str, reports, samples) -> tuple[DataFrame, DataFrame]:

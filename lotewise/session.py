@@ -58,3 +58,9 @@ def keep(df: DataFrame, purpose: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Removes a folder that `shared_dir` has named, once nothing reads it any more."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lotewise.operators.coordinates import geocode, needs_coordinate, unanswered
 from lotewise.operators.load import Check, staged_gate
-from lotewise.session import shared_dir
+from lotewise.session import drop_dir, shared_dir
 from lotewise.sources import snapshot
 from lotewise.sources.files import exists
 
@@ -57,7 +57,8 @@ def load_new(
 
     def per_batch(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        staged, _ = staged_gate(batch, checks(), shared_dir(session, "staged"), ignore)
+        folder = shared_dir(session, "staged")
+        staged, _ = staged_gate(batch, checks(), folder, ignore)
         snapshot.load_batch(
             session,
             out_dir,
@@ -67,6 +68,7 @@ def load_new(
             order_by,
             buckets=buckets,
         )
+        drop_dir(session, folder)
 
     _run_available(spark, in_dir, schema, checkpoint, per_batch, files_per_batch)
 
