@@ -1,7 +1,7 @@
 """Line dedup by winnowing: repeated runs of lines are found by guaranteed fingerprints.
 
 A line ends at a line feed or, so that a passage inside a long line is seen too, after a
-full stop, exclamation or question mark. Lines are compared by the hash of what stands
+full stop, exclamation or question mark; a very short one goes with the next. Lines are compared by the hash of what stands
 between their outer white space, and hashed again in pairs of neighbours. Fingerprints are
 the smaller of every two neighbouring pair hashes, and whatever has `MIN_WORDS` words by
 itself, a pair or a line. A run of that many words holds at least one of these, and the
@@ -29,7 +29,10 @@ from lotewise.llm.common import let, text_key
 from lotewise.operators.joins import many_to_one
 from lotewise.session import keep
 
-LINE = r"[^\n.!?]*+[\n.!?]++[\x20\t\r]*+|[^\n.!?]++"
+#: A line has this many characters at least: a shorter one goes with the next. Where to cut
+#: depends on what follows the last long line only, so equal passages are soon cut alike.
+LINE_CHARS = 24
+LINE = rf"(?s:.{{{LINE_CHARS}}})[^\n.!?]*+[\n.!?]++[\x20\t\r]*+|(?s:.+)"
 BLANK = " \t\r\n\x0b\x0c"
 WORDS = r"[^\x20\x09-\x0D]++"
 MIN_WORDS = 25

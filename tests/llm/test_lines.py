@@ -6,7 +6,7 @@ import re
 from lotewise.llm import line_dedup
 from tests.llm.helpers import ODD, documents, prose
 
-LINE = re.compile(r"[^\n.!?]*[\n.!?]+[ \t\r]*|[^\n.!?]+")
+LINE = re.compile(rf"(?s:.{{{line_dedup.LINE_CHARS}}})[^\n.!?]*[\n.!?]+[ \t\r]*|(?s:.+)")
 
 
 def brute(rows, least=line_dedup.MIN_WORDS):
