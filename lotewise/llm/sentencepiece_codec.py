@@ -23,17 +23,18 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 SPACE = "▁"
 #: Distinct words whose ids a task keeps.
-KEPT = 1 << 18
+KEPT = 1 << 19
 #: Characters of equally long words that are segmented at once.
 CHUNK = 1 << 18
 
@@ -91,8 +92,8 @@ class Pieces:
             order = np.argsort(keys)
             self.by_size[size] = (keys[order], ids[order], np.array([score[i] for i in ids])[order])
 
-    def segment(self, words: list[str]) -> list[list[int]]:
-        """The ids of words of one length."""
+    def segment(self, words: list[str]) -> list[bytes]:
+        """The ids of words of one length, each as packed 32-bit integers."""
         size = len(words[0])
         prefix = _prefixes(_codes(words, size))
         rows = np.arange(len(words))
@@ -119,27 +120,39 @@ class Pieces:
                 best[better, end] = total[better]
                 back[better, end] = length
                 piece[better, end] = ids[better, end - length]
-        reversed_ids: list[list[int]] = [[] for _ in words]
-        end = np.full(len(words), size)
-        live = rows
+        end, live, walked = np.full(len(words), size), rows, []
         while len(live):
-            step, chosen = back[live, end[live]], piece[live, end[live]]
-            for r, e, p in zip(live.tolist(), end[live].tolist(), chosen.tolist()):
-                if p >= 0:
-                    reversed_ids[r].append(p)
-                else:
-                    raw = words[r][e - 1].encode("utf-8", "replace")
-                    reversed_ids[r].extend(self.byte[b] for b in reversed(raw))
-            end[live] -= step
+            chosen = piece[live, end[live]]
+            walked.append((live, chosen, end[live]))
+            end[live] -= back[live, end[live]]
             live = live[end[live] > 0]
-        done = [ids[::-1] for ids in reversed_ids]
-        return [ids if self._spells(ids, w) else self._bytes(w) for ids, w in zip(done, words)]
-
-    def _spells(self, ids: list[int], word: str) -> bool:
-        return b"".join([self.bytes_of[i] for i in ids]) == word.replace(SPACE, " ").encode("utf-8", "replace")
-
-    def _bytes(self, word: str) -> list[int]:
-        return [self.byte[b] for b in word.replace(SPACE, " ").encode("utf-8", "replace")]
+        owner, chosen, at = (np.concatenate(x[::-1]) for x in zip(*walked))
+        order = np.argsort(owner, kind="stable")  # the walk went from the end to the start
+        chosen, at = chosen[order].astype(np.int32), at[order]
+        stops = np.cumsum(np.bincount(owner, minlength=len(words))).tolist()
+        odd = set(owner[order][chosen < 0].tolist())
+        raw, start, done = chosen.tobytes(), 0, []
+        for row, (word, stop) in enumerate(zip(words, stops)):
+            ids = raw[4 * start : 4 * stop]
+            if row in odd:
+                ids = self._with_bytes(word, chosen[start:stop].tolist(), at[start:stop].tolist())
+            done.append(ids if self._spells(ids, word) else self._bytes(word))
+            start = stop
+        return done
+
+    def _with_bytes(self, word: str, pieces: list[int], ends: list[int]) -> bytes:
+        out: list[int] = []
+        for p, e in zip(pieces, ends):
+            out.extend([p] if p >= 0 else [self.byte[b] for b in word[e - 1].encode("utf-8", "replace")])
+        return array("i", out).tobytes()
+
+    def _spells(self, ids: bytes, word: str) -> bool:
+        spelled = b"".join([self.bytes_of[i] for i in array("i", ids)])
+        return spelled == word.replace(SPACE, " ").encode("utf-8", "replace")
+
+    def _bytes(self, word: str) -> bytes:
+        raw = word.replace(SPACE, " ").encode("utf-8", "replace")
+        return array("i", [self.byte[b] for b in raw]).tobytes()
 
     def decode(self, ids: Iterable[int]) -> str:
         raw = b"".join([self.bytes_of[i] for i in ids])
@@ -149,7 +162,7 @@ class Pieces:
 class Encoder:
     def __init__(self, path: str) -> None:
         self.pieces = Pieces(path)
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """The ids of each text."""
@@ -164,16 +177,22 @@ class Encoder:
             step = max(1, CHUNK // size)
             for at in range(0, len(words), step):
                 some = words[at : at + step]
-                self.known.update(
-                    (w, np.array(ids, np.int32)) for w, ids in zip(some, self.pieces.segment(some))
-                )
-        known, empty = self.known, np.zeros(0, np.int32)
+                self.known.update(zip(some, self.pieces.segment(some)))
+        known = self.known
         return [
-            None if t is None else np.concatenate([known[w] for w in words]) if words else empty
+            None if t is None else np.frombuffer(b"".join([known[w] for w in words]), np.int32)
             for t, words in zip(texts, split)
         ]
 
 
+def _lists(ids: list[np.ndarray | None]) -> pa.Array:
+    sizes = np.array([0 if x is None else len(x) for x in ids], np.int64)
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    values = np.concatenate([np.zeros(0, np.int32), *(x for x in ids if x is not None)])
+    missing = pa.array([x is None for x in ids], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), mask=missing)
+
+
 def encode(text: Column, model: str | None = None) -> Column:
     """The ids of a text, array<int>."""
     path = model or default_model()
@@ -183,7 +202,7 @@ def encode(text: Column, model: str | None = None) -> Column:
         out: list = []
         for at in range(0, len(texts), 1000):
             out.extend(encoder(texts.slice(at, 1000).to_pylist()))
-        return pa.array(out, pa.list_(pa.int32()))
+        return _lists(out)
 
     return F.arrow_udf(run, ArrayType(IntegerType()))(text)
 
@@ -202,11 +221,19 @@ def decode(ids: Column, model: str | None = None) -> Column:
 def round_trip(docs: DataFrame, model: str | None = None) -> DataFrame:
     """(doc_id, ids, n_pieces, exact) for each of `docs`; `exact`: decoding gives the text."""
     path = model or default_model()
-    coded = docs.select("doc_id", "text", encode(F.col("text"), path).alias("ids"))
-    back = decode(F.col("ids"), path)
-    return coded.withColumn("back", back).select(
-        "doc_id",
-        "ids",
-        F.size("ids").alias("n_pieces"),
-        F.col("back").eqNullSafe(F.replace("text", F.lit(SPACE), F.lit(" "))).alias("exact"),
+
+    def run(texts: pa.Array) -> pa.Array:
+        encoder, ids, exact = Encoder(path), [], []
+        for at in range(0, len(texts), 1000):
+            some = texts.slice(at, 1000).to_pylist()
+            coded = encoder(some)
+            ids.extend(coded)
+            exact.extend(
+                t is None or encoder.pieces.decode(x.tolist()) == t.replace(SPACE, " ") for t, x in zip(some, coded)
+            )
+        return pa.StructArray.from_arrays([_lists(ids), pa.array(exact, pa.bool_())], names=["ids", "exact"])
+
+    kind = StructType([StructField("ids", ArrayType(IntegerType())), StructField("exact", BooleanType())])
+    return docs.select("doc_id", F.arrow_udf(run, kind)("text").alias("r")).select(
+        "doc_id", "r.ids", F.size("r.ids").alias("n_pieces"), "r.exact"
     )
