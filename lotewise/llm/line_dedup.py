@@ -1,7 +1,7 @@
 """Line dedup by winnowing: repeated runs of lines are found by guaranteed fingerprints.
 
 A line ends at a line feed or, so that a passage inside a long line is seen too, after a
-full stop, exclamation or question mark; a very short one goes with the next. Lines are compared by the hash of what stands
+full stop, exclamation or question mark, whatever its length. Lines are compared by the hash of what stands
 between their outer white space, and hashed again in pairs of neighbours. Fingerprints are
 the smaller of every two neighbouring pair hashes, and whatever has `MIN_WORDS` words by
 itself, a pair or a line. A run of that many words holds at least one of these, and the
@@ -29,10 +29,9 @@ from lotewise.llm.common import let, text_key
 from lotewise.operators.joins import many_to_one
 from lotewise.session import keep
 
-#: A line has this many characters at least: a shorter one goes with the next. Where to cut
-#: depends on what follows the last long line only, so equal passages are soon cut alike.
-LINE_CHARS = 24
-LINE = rf"(?s:.{{{LINE_CHARS}}})[^\n.!?]*+[\n.!?]++[\x20\t\r]*+|(?s:.+)"
+#: The least length of a line: none. Where a line ends depends on nothing before it.
+LINE_CHARS = 0
+LINE = r"[^\n.!?]*+[\n.!?]++[\x20\t\r]*+|[^\n.!?]++"
 BLANK = " \t\r\n\x0b\x0c"
 WORDS = r"[^\x20\x09-\x0D]++"
 MIN_WORDS = 25
@@ -53,17 +52,19 @@ def word_counts(parts: Column) -> Column:
 
 
 def fingerprints(hashed: DataFrame) -> DataFrame:
-    """(print, doc, key, at, size, before, after) of the selected places of `hashed` (doc, key,
-    h, w): the first line, how many lines, and the hashes of the lines around, cut to an int."""
+    """(print, doc, spot, around) of the selected places of `hashed` (doc, key, h, w).
+
+    `spot` packs the key, the first line and how many lines less one, and sorts like them;
+    `around` the hashes of the lines before and after, cut to 31 bits, plus one: 0 is no line.
+    These rows are all that is shuffled, and whole longs with few zeros in them compress best.
+    """
 
     def short(h: Column, i: Column) -> Column:
-        return F.get(h, i).bitwiseAND(0x7FFFFFFF).cast("int")
+        return F.coalesce(F.get(h, i).bitwiseAND(0x7FFFFFFF) + 1, F.lit(0).cast("long"))
 
     def place(h: Column, i: Column, size: int, name: Column) -> Column:
-        return F.struct(
-            name.alias("print"), i.alias("at"), F.lit(size).alias("size"),
-            short(h, i - 1).alias("before"), short(h, i + size).alias("after"),
-        )
+        around = F.shiftleft(short(h, i - 1), 32).bitwiseOR(short(h, i + size))
+        return F.struct(name.alias("print"), (i * 2 + (size - 1)).alias("at"), around.alias("around"))
 
     def pairs(h: Column, w: Column) -> Column:
         twice = F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + 1)))
@@ -87,25 +88,43 @@ def fingerprints(hashed: DataFrame) -> DataFrame:
         lambda i: place(h, i, 1, F.get(h, i)),
     )
     chosen = F.when(F.size(h) > 1, F.concat(pairs(h, w), long)).otherwise(long)
-    return hashed.select("doc", "key", F.explode(chosen).alias("f")).select("f.*", "doc", "key")
+    spot = F.shiftleft(F.col("key").cast("long"), 32).bitwiseOR(F.col("f.at").cast("long"))
+    return hashed.select("doc", "key", F.explode(chosen).alias("f")).select(
+        "f.print", "doc", spot.alias("spot"), "f.around"
+    )
 
 
 RANGES = "array<struct<start:int,end:int>>"
 
 
+def met(prints: DataFrame) -> DataFrame:
+    """The rows of `prints` whose print has an earlier place, with `there`, what is around its first."""
+    place = F.struct("doc", "spot", "around")
+    first = prints.groupBy("print").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    return (
+        many_to_one(prints, first, ["print"])
+        .filter(~((F.col("doc") == F.col("first.doc")) & (F.col("spot") == F.col("first.spot"))))
+        .select("print", "doc", "spot", "around", F.col("first.around").alias("there"))
+    )
+
+
 def matches(hashed: DataFrame) -> DataFrame:
     """(doc, key, ranges): the stretches of a document that stand, each as a whole, in an
     earlier place."""
-    prints = fingerprints(hashed)
-    place = F.struct("doc", "key", "at", "before", "after")
-    first = prints.groupBy("print").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    met = many_to_one(prints, first, ["print"]).filter(
-        ~((F.col("doc") == F.col("first.doc")) & (F.col("key") == F.col("first.key")) & (F.col("at") == F.col("first.at")))
+
+    def side(around: str, k: int) -> Column:
+        return F.shiftrightunsigned(around, 32) if k == 0 else F.col(around).bitwiseAND(0xFFFFFFFF)
+
+    def same(k: int) -> Column:
+        return ((side("around", k) != 0) & (side("around", k) == side("there", k))).cast("int")
+
+    key = F.shiftright("spot", 32).cast("int")
+    packed = F.col("spot").bitwiseAND(0xFFFFFFFF).cast("int")
+    at, size = F.shiftright(packed, 1), packed.bitwiseAND(1) + 1
+    ranges = met(fingerprints(hashed)).select(
+        "doc", key.alias("key"), F.struct((at - same(0)).alias("start"), (at + size + same(1)).alias("end")).alias("range")
     )
-    before = F.coalesce((F.col("before") == F.col("first.before")).cast("int"), F.lit(0))
-    after = F.coalesce((F.col("after") == F.col("first.after")).cast("int"), F.lit(0))
-    found = F.struct((F.col("at") - before).alias("start"), (F.col("at") + F.col("size") + after).alias("end"))
-    return met.select("doc", "key", found.alias("range")).groupBy("doc", "key").agg(F.collect_list("range").alias("ranges"))
+    return ranges.groupBy("doc", "key").agg(F.collect_list("range").alias("ranges"))
 
 
 def repeated(w: Column, ranges: Column) -> Column:

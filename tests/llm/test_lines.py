@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from lotewise.llm import line_dedup
 from tests.llm.helpers import ODD, documents, prose
 
@@ -71,3 +73,22 @@ def test_odd_rows(spark):
     assert line_dedup.dedup(documents(spark, [])).count() == 0
     periodic = [(1, "A line of seven words stands here.\n" * 50)]
     assert line_dedup.dedup(documents(spark, periodic)).first().text.count("seven") < 3
+
+
+TRUE_LINE = re.compile(r"[^\n.!?]*[\n.!?]+[ \t\r]*|[^\n.!?]+")
+
+
+def test_lines_of_any_length_are_the_unit(spark):
+    table = "".join(f"cell {i:02d} a b\n" for i in range(80))
+    long = " ".join(f"word{i}" for i in range(40)) + "\n"
+    rows = [
+        (1, table), (2, "cell xx a b\n" + table),
+        (3, "Page 12\n" + long + "own ending\n"), (4, "Page 13\n" + long + "another\n"),
+    ]
+    got = {r.doc_id: r.text for r in line_dedup.dedup(documents(spark, rows)).collect()}
+    assert got[1] == table
+    assert got[2] == "cell xx a b\n"
+    assert got[3] == rows[2][1]
+    assert got[4] == "Page 13\nanother\n"
+    for text in ["a. b!\n\nc", "no end", table, "e.g. this \n \n that?? \r\nx"]:
+        assert spark.range(1).select(line_dedup.lines(F.lit(text)).alias("x")).first().x == TRUE_LINE.findall(text)
