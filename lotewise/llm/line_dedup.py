@@ -9,11 +9,11 @@ same ones wherever it stands.
 
 Every fingerprint is joined to its first place in the corpus, in the order of doc_id, text
 hash and position, and the match is extended by the lines before and after, where those are
-equal too; every line of a run is within that reach of a fingerprint. Matches that share a
-line make one run, and runs of at least `MIN_WORDS` words are deleted. Only first places are
-joined, so a line that stands in a third of all documents gives one row for each of them,
-never a pair, and a match is two numbers. Where the first place of a fingerprint has other
-lines put in between, the run is taken there for two, each of which goes if it has the words.
+equal too. Where one is not, the fingerprint together with that line is looked up in the same
+way, so a match reaches as far as any earlier place of the passage has it; every line of a run
+is within that reach of a fingerprint. Matches that share a line make one run, and runs of at
+least `MIN_WORDS` words are deleted. Only first places are joined, so a line that stands in a
+third of all documents gives one row for each of them, never a pair, and a match is two numbers.
 
 DataFrame functions alone. Nulls: a null text stays null; a null doc_id counts as the largest.
 Rows equal in doc_id and text (in 31 bits of its hash, among rows of one id) are one document
@@ -116,13 +116,25 @@ def matches(hashed: DataFrame) -> DataFrame:
         return F.shiftrightunsigned(around, 32) if k == 0 else F.col(around).bitwiseAND(0xFFFFFFFF)
 
     def same(k: int) -> Column:
-        return ((side("around", k) != 0) & (side("around", k) == side("there", k))).cast("int")
-
-    key = F.shiftright("spot", 32).cast("int")
-    packed = F.col("spot").bitwiseAND(0xFFFFFFFF).cast("int")
-    at, size = F.shiftright(packed, 1), packed.bitwiseAND(1) + 1
-    ranges = met(fingerprints(hashed)).select(
-        "doc", key.alias("key"), F.struct((at - same(0)).alias("start"), (at + size + same(1)).alias("end")).alias("range")
+        return (side("around", k) != 0) & (side("around", k) == side("there", k))
+
+    def wider(k: int) -> Column:
+        """The print with the line before (0) or after (1), where its first place has another."""
+        name = F.xxhash64("print", F.lit(k), side("around", k))
+        return F.when((side("around", k) != 0) & ~same(k), F.struct(name.alias("print"), F.lit(k).cast("long").alias("around")))
+
+    def found(rows: DataFrame, before: Column, after: Column) -> DataFrame:
+        key = F.shiftright("spot", 32).cast("int")
+        packed = F.col("spot").bitwiseAND(0xFFFFFFFF).cast("int")
+        at, size = F.shiftright(packed, 1), packed.bitwiseAND(1) + 1
+        stretch = F.struct((at - before.cast("int")).alias("start"), (at + size + after.cast("int")).alias("end"))
+        return rows.select("doc", key.alias("key"), stretch.alias("range"))
+
+    again = keep(met(fingerprints(hashed)), "prints")
+    both = F.filter(F.array(wider(0), wider(1)), lambda x: x.isNotNull())
+    wide = again.select("doc", "spot", F.explode(both).alias("f")).select("f.print", "doc", "spot", "f.around")
+    ranges = found(again, same(0), same(1)).unionByName(
+        found(met(wide), F.col("around") == 0, F.col("around") == 1)
     )
     return ranges.groupBy("doc", "key").agg(F.collect_list("range").alias("ranges"))
 

@@ -92,3 +92,21 @@ def test_lines_of_any_length_are_the_unit(spark):
     assert got[4] == "Page 13\nanother\n"
     for text in ["a. b!\n\nc", "no end", table, "e.g. this \n \n that?? \r\nx"]:
         assert spark.range(1).select(line_dedup.lines(F.lit(text)).alias("x")).first().x == TRUE_LINE.findall(text)
+
+
+def test_passages_whose_parts_stand_first_elsewhere(spark):
+    """A pair of lines alone is too short to go and has its first place between other lines;
+    the passage as a whole stands in two later documents."""
+
+    def line(seed):
+        return prose(seed, 12, 12) + "\n"
+
+    rows = []
+    for n in range(12):
+        passage = [line(9000 + 10 * n + k) for k in range(3 + n % 2)]
+        parts = [passage[0:2], passage[2:4]] if n % 2 else [passage[1:3]]
+        for k, part in enumerate([*parts, passage, passage]):
+            at = 100 * n + 10 * k
+            rows.append((at, line(at) + "".join(part) + line(at + 1)))
+    got = {r.doc_id: r.text for r in line_dedup.dedup(documents(spark, rows)).collect()}
+    assert got == {rows[i][0]: t for i, t in brute(rows).items()}
