@@ -5,7 +5,8 @@ logarithm of its probability under a Markov model of random strings over that un
 model of ordinary identifiers. Both are tables of character pairs, counted on labelled
 samples that the corpus itself gives: values that the fixed patterns vouch for are
 random, runs of letters alone are ordinary. At most `SAMPLES` distinct values of each
-class, those whose hash is lowest, fit the models; every run of every text is scored.
+class, those whose hash is lowest, fit the models; every run of every text is scored,
+one that a fixed pattern overlaps by its parts of 16 or more characters outside it.
 
 DataFrame functions alone; the only thing the driver sees is the pair counts, at most
 two per pair of the 66 characters. Null and empty texts have no spans; repeated rows get
@@ -33,7 +34,8 @@ HEX = r"[0-9a-f]{24,}+"
 KINDS = ["assign", "access", "hex", "random"]
 #: A candidate run; shorter ones give the models too little to go by, and a run without a
 #: letter is a number.
-RUN = r"[A-Za-z0-9+/_=-]{16,}+"
+RUN_CHARS = 16
+RUN = rf"[A-Za-z0-9+/_=-]{{{RUN_CHARS},}}+"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SAMPLES = 20_000
 #: Longest value that may be a sample.
@@ -53,10 +55,12 @@ def base_spans(text: Column) -> Column:
 
 
 def scanned(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with `base` and `runs`, the candidates that touch no base span."""
+    """`docs` with `base` and `runs`, the candidates: what base spans leave of each run, where it
+    is long enough and has a letter."""
     with_base = docs.withColumn("base", F.coalesce(base_spans(F.col(text)), F.array().cast(spans.TAGGED)))
     lettered = F.filter(spans.find(F.col(text), RUN), lambda s: s["m"].rlike("[A-Za-z]"))
-    runs = spans.apart(spans.tag(lettered, 3), F.col("base"))
+    parts = spans.outside(spans.tag(lettered, 3), spans.by_start(F.col("base")))
+    runs = F.filter(parts, lambda s: (F.char_length(s["m"]) >= RUN_CHARS) & s["m"].rlike("[A-Za-z]"))
     return with_base.withColumn("runs", F.coalesce(runs, F.array().cast(spans.TAGGED)))
 
 

@@ -62,6 +62,27 @@ def apart(spans: Column, others: Column) -> Column:
     )
 
 
+def outside(spans: Column, others: Column) -> Column:
+    """The parts of the tagged spans that lie outside all of `others`, which are in order of start."""
+
+    def cut(o: Column, s: Column) -> Column:
+        def part(start: Column, end: Column) -> Column:
+            m = F.substring(s["m"], start - s["start"] + 1, end - start)
+            piece = F.struct(s["kind"].alias("kind"), start.alias("start"), end.alias("end"), m.alias("m"))
+            return F.when(start < end, F.array(piece)).otherwise(F.array().cast(TAGGED))
+
+        def step(done: Column, x: Column) -> Column:
+            found = F.concat(done["found"], part(done["at"], x["start"]))
+            return F.struct(F.greatest(done["at"], x["end"]).alias("at"), found.alias("found"))
+
+        touching = F.filter(o, lambda x: (x["start"] < s["end"]) & (s["start"] < x["end"]))
+        nothing = F.struct(s["start"].alias("at"), F.array().cast(TAGGED).alias("found"))
+        rest = lambda t: F.aggregate(t, nothing, step, lambda d: F.concat(d["found"], part(d["at"], s["end"])))
+        return let(touching, lambda t: F.when(F.size(t) > 0, rest(t)).otherwise(F.array(s)))
+
+    return let(others, lambda o: F.flatten(F.transform(spans, lambda s: cut(o, s))))
+
+
 def count(spans: Column, kind: int) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 

@@ -99,3 +99,19 @@ def test_random_runs_are_told_from_identifiers(spark):
     assert [(secrets.KINDS[s.kind], s.start, s.end) for s in found[5000]] == [("random", 4, 44)]
     assert found[5001] == [] and found[5002] == []
     assert sum(len(found[d]) for d, _ in names) == 0
+
+
+def test_what_fixed_patterns_leave_of_a_run_is_a_candidate(spark):
+    rng = random.Random(4)
+    key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(39)) + "Z"
+    digest, access = "0123456789abcdef" * 2, "AKIA" + "Q7" * 8
+    texts = [
+        (1, f"see /files/{digest}/{key} there"), (2, f"{access}/{key}"), (3, f"x{key}"), (4, f"{digest}/short_rest"),
+    ]
+    got = {r.doc_id: [(s.start, s.end, s.m) for s in r.runs] for r in secrets.scanned(documents(spark, texts)).collect()}
+    assert got == {
+        1: [(11 + 32, 11 + 33 + 40, "/" + key)],
+        2: [(20, 61, "/" + key)],
+        3: [(0, 41, "x" + key)],
+        4: [],
+    }
