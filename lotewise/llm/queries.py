@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotewise.llm import (
+    conversation_trie,
     embedding_dedup,
     line_dedup,
     lm_scoring,
@@ -19,6 +20,7 @@ from lotewise.llm import (
     sentencepiece_codec,
     simhash,
     toxicity,
+    whitening,
 )
 from lotewise.llm.common import bucket_of, table
 
@@ -82,3 +84,14 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = conversation_trie.turns(table(spark, sf_dir, "conversations"))
+    return conversation_trie.prefix_trie(conversation_trie.with_shared_heads(talks))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
