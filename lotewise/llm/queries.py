@@ -19,6 +19,7 @@ from lotewise.llm import (
     secrets,
     sentencepiece_codec,
     simhash,
+    suffix_dedup,
     toxicity,
     whitening,
 )
@@ -95,3 +96,8 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
