@@ -26,7 +26,11 @@ from lotewise.llm import (
 from lotewise.llm.common import bucket_of, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {"op5_embedding_near_dedup": oracle.EMBEDDINGS}
+ORACLE: dict[str, str] = {
+    "op5_embedding_near_dedup": oracle.EMBEDDINGS,
+    "op11_conversation_trie": oracle.CONVERSATIONS,
+    "op13_suffix_dedup": oracle.REPEATS,
+}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
