@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +24,12 @@ def fold_label(col: Column | str) -> Column:
     return F.trim(F.regexp_replace(fold(col), r"[°º.]|:\s*$", ""))
 
 
+def fold_label_py(label: str) -> str:
+    """The same folding as `fold_label`, for the short lists the caller writes."""
+    text = re.sub(r"\s+", " ", label).strip().lower().translate(str.maketrans(ACCENTED, PLAIN))
+    return re.sub(r"[°º.]|:\s*$", "", text).strip()
+
+
 def slug(col: Column | str) -> Column:
     """A caption as it may appear in a file name."""
     return F.trim(F.regexp_replace(fold(col), r"[^a-z0-9]+", "_"), F.lit("_"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lotewise.functions.numbers import unit_value
 from lotewise.functions.text import fold
 from lotewise.operators.coordinates import geocode_cached, merge_coordinates, needs_coordinate
-from lotewise.operators.extraction import SAMPLE_HEADING, legacy_fields
+from lotewise.operators.extraction import SAMPLE_HEADING, legacy_fields, options_on_pages
 from lotewise.operators.joins import many_to_one
 from lotewise.operators.layout import (
     cells,
@@ -55,6 +55,7 @@ def extract(
     words: DataFrame,
     options: DataFrame | None = None,
     legacy: dict[str, dict[str, str]] | None = None,
+    boxes: DataFrame | None = None,
 ) -> Extracted:
     """Words of the pages to typed reports and samples.
 
@@ -62,9 +63,14 @@ def extract(
     of the reports are kept there too, so that what is excluded, the failures and the samples do
     not read them anew.
 
-    `options` (codigo_laudo, grupo, opcoes) are the ticked boxes of digital reports;
-    `legacy` the patterns for layouts that have no grid.
+    `boxes` are the drawn checkboxes, whose ticked options fill the three lists of digital reports;
+    `options` (codigo_laudo, grupo, opcoes) are such lists read elsewhere; `legacy` the patterns for layouts
+    that have no grid.
     """
+    if boxes is not None:
+        drawn_on = many_to_one(words, boxes.select("codigo_laudo").distinct(), ["codigo_laudo"], "left_semi")
+        ticked = options_on_pages(boxes, drawn_on, form.OPTION_HEADINGS, form.BOX_FILLED)
+        options = ticked if options is None else options.unionByName(ticked)
     joined = keep(cells(cluster_lines(words)), "cells")
     lines = texts_of_cells(joined)
     models = route_layout(

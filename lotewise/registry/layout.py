@@ -9,6 +9,7 @@ from lotewise.operators.extraction import (
     explode_samples,
     explode_units,
     legacy_fields,
+    options_on_pages,
 )
 from lotewise.operators.layout import (
     cluster_lines,
@@ -232,17 +233,17 @@ def units(spark, sf):
     return explode_units(printed, "texto")
 
 
-@query(
-    "checked_options",
-    """select cast(vec_id as varchar) as codigo_laudo,
+OPTIONS_SQL = """select cast(vec_id as varchar) as codigo_laudo,
               'grupo ' || cast((i - 1) // 16 as varchar) as grupo,
               coalesce(string_agg(case when abs(cast(v as double)) >= 0.2
                                        then 'opcao ' || cast(i - 1 as varchar) end,
                                   ';' order by i), '') as opcoes
        from (select vec_id, unnest(embedding) as v,
                     generate_subscripts(embedding, 1) as i from embeddings)
-       group by vec_id, (i - 1) // 16""",
-)
+       group by vec_id, (i - 1) // 16"""
+
+
+@query("checked_options", OPTIONS_SQL)
 def boxes_on(spark, sf):
     """64 boxes per vector, eight to a line, each followed by the word of its option."""
     drawn = table(spark, sf, "embeddings").select(
@@ -270,3 +271,51 @@ def boxes_on(spark, sf):
         F.concat(F.lit("opcao "), F.col("i").cast("string")).alias("opcao"),
     )
     return checked_options(boxes, words, 0.2).withColumn("opcoes", F.array_join("opcoes", ";"))
+
+
+@query("checked_options_on_pages", OPTIONS_SQL)
+def boxes_and_words(spark, sf):
+    """The same boxes drawn on pages among words, under the headings of their groups.
+
+    Groups 0 and 1 stand side by side on page 1, groups 2 and 3 one below the other on page 2,
+    and group 3 goes on over page 3. A box is smaller than its words and stands lower.
+    """
+    drawn = table(spark, sf, "embeddings").select(
+        F.col("vec_id").cast("string").alias("codigo_laudo"), F.posexplode("embedding").alias("i", "v")
+    )
+    group, j = F.floor(F.col("i") / 16), F.col("i") % 16
+    beside = group < 2
+    at = drawn.select(
+        "codigo_laudo",
+        F.col("i").cast("string").alias("i"),
+        "v",
+        F.when(beside, 1).when((group == 3) & (j >= 8), 3).otherwise(2).cast("int").alias("page"),
+        F.when(beside, group * 300 + j % 4 * 70).otherwise(j % 8 * 70).cast("double").alias("x"),
+        F.when(beside, 64 + F.floor(j / 4) * 14)
+        .when(group == 2, 64 + F.floor(j / 8) * 14)
+        .otherwise(F.when(j < 8, 114).otherwise(50))
+        .cast("double")
+        .alias("y"),
+    )
+    report = ["codigo_laudo", "page"]
+    boxes = at.select(
+        *report, F.col("x").alias("x0"), (F.col("x") + 8).alias("x1"), (F.col("y") + 2).alias("top"),
+        (F.col("y") + 10).alias("bottom"), F.abs(F.col("v").cast("double")).alias("fill_ratio"),
+    )
+    headings = F.array(
+        *(
+            F.struct(F.lit(page).alias("page"), F.lit(x).alias("x"), F.lit(y).alias("y"), F.lit(f"Grupo {g}:").alias("t"))
+            for g, page, x, y in ((0, 1, 0.0, 50.0), (1, 1, 300.0, 50.0), (2, 2, 0.0, 50.0), (3, 2, 0.0, 100.0))
+        )
+    )
+    printed = at.select(
+        *report, (F.col("x") + 12).alias("x"), "y", F.concat(F.lit("opcao "), F.col("i")).alias("t")
+    ).unionByName(
+        table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("codigo_laudo"), F.inline(headings))
+    )
+    words = printed.select(*report, "x", "y", F.posexplode(F.split("t", " ")).alias("k", "text")).select(
+        *report, (F.col("x") + F.col("k") * 28).alias("x0"), (F.col("x") + F.col("k") * 28 + 24).alias("x1"),
+        (F.col("y") + F.col("k")).alias("top"), (F.col("y") + 9).alias("bottom"), "text",
+    )
+    ticked = options_on_pages(boxes, words, {f"Grupo {g}": f"grupo {g}" for g in range(4)}, 0.2)
+    return ticked.withColumn("opcoes", F.array_join("opcoes", ";"))

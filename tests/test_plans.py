@@ -96,6 +96,15 @@ def test_ticked_boxes_fill_the_lists(spark, words):
     assert got["2"] == ["Escola", "Ônibus"] and got["1"] is None
 
 
+def test_boxes_on_the_pages_fill_the_lists(spark, words):
+    """The heading opens on page 3, its boxes follow on page 4."""
+    drawn = page("2", 3, [[(0, "Serviços Públicos")]]) + page("2", 4, [[(20, "Escola"), (120, "Ônibus")]])
+    place = "codigo_laudo string, page int, x0 double, x1 double, top double, bottom double, fill_ratio double"
+    boxes = spark.createDataFrame([("2", 4, 5.0, 13.0, 52.0, 60.0, 0.9), ("2", 4, 105.0, 113.0, 52.0, 60.0, 0.1)], place)
+    read = extract(words.unionByName(spark.createDataFrame(drawn, WORDS)), boxes=boxes)
+    assert {r.codigo_laudo: r.servicos_publicos for r in read.reports.collect()}["2"] == ["Escola"]
+
+
 def few_without_value(limit):
     return lambda: [Check("no value", F.col("valor_avaliacao").isNull(), limit)]
 
