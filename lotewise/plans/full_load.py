@@ -6,11 +6,17 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lotewise.functions.numbers import unit_value
-from lotewise.functions.text import fold
-from lotewise.operators.coordinates import geocode_cached, merge_coordinates, needs_coordinate
+from lotewise.functions.text import fold, fold_label, fold_label_py
+from lotewise.operators.coordinates import (
+    carry_coordinates,
+    geocode_cached,
+    merge_coordinates,
+    needs_coordinate,
+)
 from lotewise.operators.extraction import SAMPLE_HEADING, legacy_fields, options_on_pages
 from lotewise.operators.joins import many_to_one
 from lotewise.operators.layout import (
@@ -21,7 +27,7 @@ from lotewise.operators.layout import (
     route_layout,
     texts_of_cells,
 )
-from lotewise.operators.load import Check, staged_gate
+from lotewise.operators.load import Check, GatedTable, flag_orphans, staged_gates
 from lotewise.operators.normalise import fill_not_applicable, normalise
 from lotewise.operators.photos import (
     classify_caption,
@@ -38,17 +44,26 @@ from lotewise.sources import snapshot
 from lotewise.sources.catalog import stored_form
 
 REPORT_TABLE, SAMPLE_TABLE = "laudos", "laudos_amostras"
+#: The fields of a row that are printed but could not be read.
+UNREAD = "nao_lidos"
 LISTS = ("infraestrutura", "infraestrutura_urbana", "servicos_publicos")
 
 
 @dataclass
 class Extracted:
-    """What one reading of a batch gives."""
+    """What one reading of a batch gives.
+
+    Reports and samples have, beside the columns of their tables, `nao_lidos`: the fields that are printed but
+    could not be read. `failures` and `sample_failures` count them; `left_out` (place, n_words) counts the words
+    below labels, and the lines of samples, that became part of no value.
+    """
 
     reports: DataFrame
     samples: DataFrame
     excluded: DataFrame
     failures: DataFrame
+    sample_failures: DataFrame | None = None
+    left_out: DataFrame | None = None
 
 
 def extract(
@@ -87,14 +102,16 @@ def extract(
     if legacy:
         raw = _with_legacy(raw, lines, models, legacy, fields)
     raw = keep(raw, "printed")
-    typed, failures = normalise(raw, {f: k for f, k in form.KINDS.items() if f in fields})
+    typed, failures = normalise(raw, {f: k for f, k in form.KINDS.items() if f in fields}, UNREAD)
     if options is not None:
         typed = _with_options(typed, options)
     reports = _as(REPORTS, _spread_out(typed))
     kept, excluded = split_excluded(reports, fold("tipo") == fold(F.lit(form.MULTIPLE_UNITS)))
     left_out = excluded.select("codigo_laudo")
-    samples = many_to_one(_samples(lines), left_out, ["codigo_laudo"], "left_anti")
-    return Extracted(kept, samples, excluded.select("codigo_laudo"), failures)
+    lines_of_kept = many_to_one(lines, left_out, ["codigo_laudo"], "left_anti")
+    samples, sample_failures, lost = _samples(lines_of_kept)
+    cut = printed.select(F.lit("labels").alias("place"), F.sum("left_out").alias("n_words"))
+    return Extracted(kept, samples, excluded.select("codigo_laudo"), failures, sample_failures, cut.unionByName(lost))
 
 
 def _with_legacy(raw, lines, models, patterns, fields) -> DataFrame:
@@ -160,16 +177,20 @@ def _as(schema, df: DataFrame) -> DataFrame:
         *(
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in schema.fields
-        )
+        ),
+        UNREAD,
     )
 
 
-def _samples(lines: DataFrame) -> DataFrame:
-    """Comparables: `label: value` lines under the sample headings of each report.
+def _samples(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Comparables under the sample headings of each report: (typed, failures, what is in no value).
 
-    Headings are counted page by page, so a report with very many pages is spread;
-    blocks may run over the end of a page.
+    A `label: value` line opens a value; lines without a label go on with it, down to the next
+    label or heading or to a space of more than twice the page's usual step. Text runs over all its
+    lines; of numbers and dates the first line that has anything counts. Headings are counted and values numbered page by page,
+    so a report with very many pages is spread; a block may run over the end of a page, and so may a value, into the next one.
     """
+    page = ["codigo_laudo", "page"]
     heading = F.col("text").rlike(f"^(?:{SAMPLE_HEADING})")
     numbered = running_total(
         lines,
@@ -179,11 +200,51 @@ def _samples(lines: DataFrame) -> DataFrame:
         F.when(heading, 1).otherwise(0),
         "numero_amostra",
     ).filter(F.col("numero_amostra") > 0)
-    pair = r"^([^:]+):\s*(.*)$"
-    raw = numbered.filter(F.col("text").rlike(pair)).select(
-        *SAMPLE_KEY,
-        F.regexp_extract("text", pair, 1).alias("label"),
-        F.regexp_extract("text", pair, 2).alias("value"),
+    pair = r"^([^:]{1,60}):(?!//)\s*(.*)$"
+    down = W.partitionBy(*page).orderBy("line")
+    usual = F.percentile_approx("__step", 0.5).over(W.partitionBy(*page))
+    far = F.col("__step") > F.greatest(F.lit(18.0), 2 * usual)
+    opens = F.when(heading | F.col("text").rlike(pair) | F.coalesce(far, F.lit(False)), 1).otherwise(0)
+    placed = (
+        numbered.withColumn("__step", F.col("top") - F.lag("top").over(down))
+        .withColumn("__opens", opens)
+        .withColumn("__value", F.sum("__opens").over(down.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    )
+    # what stands above the first label of a page goes with the last one of the page before
+    last = placed.groupBy(*page).agg(F.max("__value").alias("__last")).select(
+        "codigo_laudo", (F.col("page") + 1).alias("page"), "__last"
+    )
+    above = F.col("__value") == 0
+    owned = placed.join(last, page, "left").select(
+        "codigo_laudo",
+        F.when(above, F.col("page") - 1).otherwise(F.col("page")).alias("__page"),
+        F.when(above, F.col("__last")).otherwise(F.col("__value")).alias("__value"),
+        F.struct("page", "line", "text", "numero_amostra").alias("__line"),
+    )
+    values = owned.groupBy("codigo_laudo", "__page", "__value").agg(
+        F.array_sort(F.collect_list("__line")).alias("__lines")
+    )
+    first = F.col("__lines")[0]
+    label = F.when(F.col("__value") > 0, F.nullif(F.regexp_extract(first["text"], pair, 1), F.lit("")))
+    further = F.transform(F.slice("__lines", 2, F.greatest(F.size("__lines") - 1, F.lit(0))), lambda x: x["text"])
+    parts = F.filter(F.concat(F.array(F.regexp_extract(first["text"], pair, 2)), further), lambda x: F.trim(x) != "")
+    read = values.select(
+        "codigo_laudo",
+        first["numero_amostra"].alias("numero_amostra"),
+        label.alias("label"),
+        parts.alias("__parts"),
+        first["text"].alias("__first"),
+        first["text"].rlike(f"^(?:{SAMPLE_HEADING})").alias("__heading"),
+    )
+    in_one_line = [fold_label_py(x) for x, field, _ in form.SAMPLE if form.KINDS.get(field, "text") not in ("text", "address")]
+    value = F.when(fold_label("label").isin(in_one_line), F.get("__parts", F.lit(0))).otherwise(F.array_join("__parts", " "))
+    raw = read.filter("label is not null").select(*SAMPLE_KEY, "label", value.alias("value"))
+    words = lambda text: F.size(F.filter(F.split(text, r"\s+"), lambda w: w != ""))
+    lost = read.filter("label is null").agg(
+        F.lit("samples").alias("place"),
+        F.sum(F.reduce("__parts", F.lit(0), lambda n, x: n + words(x)) + F.when(F.col("__heading"), 0).otherwise(words("__first"))).alias(
+            "n_words"
+        ),
     )
     fields = [field for _, field, _ in form.SAMPLE]
     wide = (
@@ -193,16 +254,17 @@ def _samples(lines: DataFrame) -> DataFrame:
         .agg(F.first("value"))
     )
     kinds = {f: k for f, k in form.KINDS.items() if f in fields and k != "address"}
-    typed, _ = normalise(wide, {**kinds, "endereco": "text"})
+    typed, failures = normalise(wide, {**kinds, "endereco": "text"}, UNREAD)
     valued = typed.withColumn(
         "valor_m2",
         unit_value("valor_m2", "valor", "area_privativa", "area_terreno", _is_lot(F.col("tipo"))),
     )
-    return _as(SAMPLES, valued)
+    return _as(SAMPLES, valued), failures, lost
 
 
 def for_storage(reports: DataFrame, samples: DataFrame) -> tuple[DataFrame, DataFrame]:
     """C8 and `;` lists: the tables as they are stored."""
+    reports, samples = reports.drop(UNREAD), samples.drop(UNREAD)
     land = _is_lot(F.col("tipo"))
     flat = F.coalesce(F.lower("tipo").rlike("apartamento"), F.lit(False))
     rooms = ["quartos", "banheiros", "vagas", "idade"]
@@ -227,30 +289,56 @@ def load(
     path: str,
     checks: Callable[[], Sequence[Check]] = form.report_checks,
     ignore: bool = False,
+    sample_checks: Callable[[], Sequence[Check]] = form.sample_checks,
 ) -> int:
-    """Gate, then upsert of both tables in one commit; returns the stored version.
+    """One gate over both tables, then their upsert in one commit; returns the stored version.
 
-    Reports and samples are staged once in the shared folder; a rejected batch
-    raises before anything is written to the tables, and its staging folder stays to be looked at.
-    The samples of a report that is read again replace the old ones.
+    Reports and samples are staged once in the shared folder, and counted, with samples that
+    have no report, while they are written; a batch that fails in either table
+    raises before anything is written to the tables, and its staging folders stay to be looked at.
+    The samples of a report that is read again replace the old ones; its coordinate is kept as
+    `carry_coordinates` says.
     """
-    folders = [shared_dir(spark, f"staged-{name}") for name in ("reports", "samples")]
-    staged, _ = staged_gate(batch.reports, checks(), folders[0], ignore)
-    staged_samples, _ = staged_gate(batch.samples, [], folders[1], ignore)
-    staged, staged_samples = for_storage(staged, staged_samples)
+    folders = {name: shared_dir(spark, f"staged-{name}") for name in (REPORT_TABLE, SAMPLE_TABLE)}
+    staged, _, _ = stage(batch, folders, checks(), sample_checks(), ignore)
+    reports, samples = for_storage(staged[REPORT_TABLE], staged[SAMPLE_TABLE])
     version = snapshot.load_batch(
         spark,
         path,
-        {REPORT_TABLE: staged, SAMPLE_TABLE: staged_samples},
+        {REPORT_TABLE: reports, SAMPLE_TABLE: samples},
         {REPORT_TABLE: REPORT_KEY, SAMPLE_TABLE: SAMPLE_KEY},
         "codigo_laudo",
-        replaced={SAMPLE_TABLE: staged.select("codigo_laudo")},
+        replaced={SAMPLE_TABLE: reports.select("codigo_laudo")},
+        prepare={REPORT_TABLE: carry_coordinates},
     )
-    for folder in folders:
+    for folder in folders.values():
         drop_dir(spark, folder)
     return version
 
 
+def stage(
+    batch: Extracted,
+    folders: dict[str, str],
+    checks: Sequence[Check],
+    sample_checks: Sequence[Check],
+    ignore: bool = False,
+) -> tuple[dict[str, DataFrame], list, dict[str, dict[str, int]]]:
+    """D2 over both tables: (tables as staged, the report, unread values per field of each table)."""
+
+    def unread(table: DataFrame) -> dict[str, Column]:
+        known = [c for c in (*table.columns, "endereco", "coordenadas") if c in form.KINDS]
+        return {c: F.count_if(F.array_contains(UNREAD, c)) for c in dict.fromkeys(known)}
+
+    def with_flag(staged: dict[str, DataFrame]) -> DataFrame:
+        return flag_orphans(batch.samples, staged[REPORT_TABLE], "codigo_laudo")
+
+    tables = {
+        REPORT_TABLE: GatedTable(batch.reports, checks, unread(batch.reports)),
+        SAMPLE_TABLE: GatedTable(with_flag, sample_checks, unread(batch.samples), ["orphan"]),
+    }
+    return staged_gates(tables, folders, ignore)
+
+
 def stored_tables(spark: SparkSession, path: str, reports, samples) -> tuple[DataFrame, DataFrame]:
     """Both tables as last committed, by the schemas of `reports` and `samples`."""
     return (
