@@ -126,10 +126,14 @@ def _whitened(rows: DataFrame, dim: int, n: int, total: list[int], components: i
     whitening = Matrices.dense(dim, last, (axes * scale).ravel(order="F").tolist())
     by = BlockMatrix(spark.sparkContext.parallelize([((0, 0), whitening)], 1), dim, last, dim, last)
     projected = callMLlibFunc("getIndexedRows", blocks.multiply(by).toIndexedRowMatrix()._java_matrix_wrapper._java_model)
-    # rows that are all zero may have no block row
-    white = rows.select("index", "vec_id", offset.alias("offset")).join(
-        keep(projected.select("index", vector_to_array("vector").alias("z")), "projected"), "index", "left"
+    square = F.aggregate(
+        "offset",
+        F.lit(0).cast("long"),
+        lambda a, v: F.try_add(a, F.try_multiply(v.try_cast("long"), v.try_cast("long"))),
     )
+    placed = rows.select("index", "vec_id", offset.alias("offset")).select("index", "vec_id", square.alias("deviation"))
+    # rows that are all zero may have no block row
+    white = placed.join(projected.select("index", vector_to_array("vector").alias("z")), "index", "left")
     white = keep(white.withColumn("z", F.coalesce("z", _array_of([0.0] * last, "double"))), "whitened")
 
     means = white.select(F.posexplode("z").alias("at", "z")).groupBy("at").agg(F.avg("z").alias("m")).orderBy("at")
@@ -138,12 +142,7 @@ def _whitened(rows: DataFrame, dim: int, n: int, total: list[int], components: i
     excess = np.abs(_scatter(again, n) / n - np.eye(last))[np.ix_(live, live)]
     error = float(excess.max()) if excess.size else None
 
-    square = F.aggregate(
-        "offset",
-        F.lit(0).cast("long"),
-        lambda a, v: F.try_add(a, F.try_multiply(v.try_cast("long"), v.try_cast("long"))),
-    )
-    one = white.select("vec_id", square.alias("deviation"), F.posexplode("z").alias("at", "z"))
+    one = white.select("vec_id", "deviation", F.posexplode("z").alias("at", "z"))
     return one.select(
         "vec_id",
         (F.col("at") + 1).cast("int").alias("component"),
