@@ -353,17 +353,29 @@ SPANS = "bucket long, row binary, begins binary, ends binary"
 
 def _repeats(table: pa.Table) -> pa.Table:
     """The suffixes of a shard's pieces in order, and the spans that go, for each bucket."""
-    text = np.frombuffer(b"".join(table["body"].to_pylist()), np.uint8)
-    sizes = _numbers(table["sizes"], np.int32)
-    piece, lo, hi = _later(text, np.concatenate(sizes).astype(np.int64), np.concatenate(_numbers(table["docs"])))
+    sizes, docs = _numbers(table["sizes"], np.int32), np.concatenate(_numbers(table["docs"]))
+    bounds = np.append(0, np.cumsum(np.concatenate(sizes), dtype=np.int64)).astype(np.int32)
+    text = pa.py_buffer(b"".join(table["body"].to_pylist()))
+    coded = pa.Array.from_buffers(pa.binary(), len(docs), [None, pa.py_buffer(bounds), text]).dictionary_encode()
+    code = coded.indices.to_numpy()
+    least = np.full(len(coded.dictionary), np.iinfo(np.int64).max)
+    np.minimum.at(least, code, docs)
+    ends = np.frombuffer(coded.dictionary.buffers()[1], np.int32)[: len(least) + 1]
+    distinct = np.frombuffer(coded.dictionary.buffers()[2], np.uint8)[: ends[-1]]
+    piece, lo, hi = _later(distinct, np.diff(ends).astype(np.int64), least)
     shift, out = 0, {"row": [], "begins": [], "ends": []}
     known = (_numbers(table[c]) for c in ("place", "row", "done_row", "done_from", "done_to"))
     for n, of, place, row, *done in zip(map(len, sizes), _numbers(table["of"], np.int32), *known):
-        a, b = np.searchsorted(piece, of + shift, "left"), np.searchsorted(piece, of + shift, "right")
+        own = code[of + shift]
+        whole = docs[of + shift] > least[own]  # the same piece stands in a smaller document
+        done[0], done[1] = np.append(done[0], row[whole]), np.append(done[1], place[whole])
+        done[2] = np.append(done[2], place[whole] + (ends[own + 1] - ends[own])[whole])
+        own, place, row = own[~whole], place[~whole], row[~whole]
+        a, b = np.searchsorted(piece, own, "left"), np.searchsorted(piece, own, "right")
         times = b - a
         at = np.repeat(a - np.append(0, np.cumsum(times)[:-1]), times) + np.arange(times.sum())
-        whole = np.repeat(place, times)
-        for name, old, new in zip(out, done, (np.repeat(row, times), whole + lo[at], whole + hi[at])):
+        start = np.repeat(place, times)
+        for name, old, new in zip(out, done, (np.repeat(row, times), start + lo[at], start + hi[at])):
             out[name].append(np.append(old, new).astype(np.int64).tobytes())
         shift += n
     return pa.table({"bucket": table["bucket"], **{k: pa.array(v, pa.binary()) for k, v in out.items()}})
