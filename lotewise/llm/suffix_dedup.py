@@ -3,6 +3,9 @@
 A byte goes if a 50-byte string that covers it also starts in a document with a smaller doc_id.
 Suffixes are sorted only where a repeat can be, and in shards that equal strings share:
 
+Texts that are wholly equal are known by their SHA-256: all but the smallest document go whole, and only
+that one is looked at further.
+
 1. `anchors`: every 50-byte window has an anchor, its 24-byte string of least hash. Equal windows have
    equal anchors, so the text falls into pieces, runs of windows with one anchor; pieces whose
    anchor hash stands in one document alone can't hold a repeat and go no further.
@@ -16,8 +19,8 @@ Suffixes are sorted only where a repeat can be, and in shards that equal strings
    behind it, and neighbours in the order are compared by their first 50 bytes.
 5. Spans go back to the documents' buckets.
 
-The texts are shuffled once, by a hash of their row number, and that exchange serves steps 1, 3 and
-5; `docs` must be a stored table, whose rows come in the same order when a task runs again. Work on
+The texts are shuffled once, by a hash of document and text, and that exchange serves steps 1, 3 and
+5. Within a bucket a text goes by document and SHA-256, so nothing depends on the order of rows. Work on
 a bucket goes slice by slice, so memory follows the largest text, not its repeats.
 
 Null text counts as empty. A null doc_id is smaller than none and none is smaller than it: nothing goes
@@ -37,6 +40,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lotewise.operators.joins import many_to_one
+
 LENGTH = 50
 GRAM = 24
 #: Bytes of text in a bucket, hashes in a shard of step 2, bytes of all texts for each shard of step 4.
@@ -97,14 +102,24 @@ def _anchored(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _joined(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """The joined bytes of the texts of a bucket, and where each text ends."""
-    bodies = table["body"].to_pylist()
-    return np.frombuffer(b"".join(bodies), np.uint8), np.cumsum([len(b) for b in bodies], dtype=np.int64)
+def _keys(table: pa.Table) -> list[tuple[int, bytes]]:
+    """What tells the texts of a bucket apart: document and SHA-256; rows equal in both are one text."""
+    return [(d, hashlib.sha256(b).digest()) for d, b in zip(table["doc_id"].to_pylist(), table["body"].to_pylist())]
+
+
+def _copied(table: pa.Table) -> set[tuple[int, bytes]]:
+    told = table.filter(pc.is_valid(table["copy"]))
+    return set(zip(told["copy_of"].to_pylist(), told["copy"].to_pylist()))
 
 
-def _known(table: pa.Table) -> pa.Table:
-    return table.filter(pc.is_valid(table["doc_id"]))
+def _known(table: pa.Table, copies: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts of a bucket that are looked at, in the order of their keys: joined bytes, where each
+    text ends, documents. The copies of a smaller document's text are not among them."""
+    bodies = dict(zip(_keys(table), table["body"].to_pylist()))
+    kept = sorted(bodies.keys() - _copied(copies))
+    text = np.frombuffer(b"".join(bodies[k] for k in kept), np.uint8)
+    ends = np.cumsum([len(bodies[k]) for k in kept], dtype=np.int64)
+    return text, ends, np.array([d for d, _ in kept], np.int64)
 
 
 def _cut(values: np.ndarray, cuts: np.ndarray) -> list[bytes]:
@@ -127,12 +142,11 @@ def _distinct(prints: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def _anchors(shards: int):
-    def run(table: pa.Table) -> pa.Table:
-        bucket, table = table["bucket"][0], _known(table)
-        text, ends = _joined(table)
+    def run(table: pa.Table, copies: pa.Table) -> pa.Table:
+        text, ends, ids = _known(table, copies)
         first, _, prints = _anchored(text, ends)
         values, shard, place = _distinct(prints, shards)
-        docs = table["doc_id"].to_numpy()[np.searchsorted(ends, first, "right")] if len(first) else first
+        docs = ids[np.searchsorted(ends, first, "right")] if len(first) else first
         low, high = np.full(len(values), np.iinfo(np.int64).max), np.full(len(values), np.iinfo(np.int64).min)
         np.minimum.at(low, place, docs)
         np.maximum.at(high, place, docs)
@@ -141,7 +155,7 @@ def _anchors(shards: int):
         return pa.table(
             {
                 "shard": pa.array(own, pa.int64()),
-                "bucket": pa.array([bucket.as_py()] * len(own), pa.int64()),
+                "bucket": pa.array([table["bucket"][0].as_py()] * len(own), pa.int64()),
                 "prints": pa.array(_cut(values.view(np.uint8).reshape(-1, 8)[:, :6], cuts), pa.binary()),
                 "counts": pa.array(_cut(count.astype(np.uint8), cuts), pa.binary()),
             }
@@ -196,13 +210,13 @@ def _pieces(print_shards: int, shards: int):
     names = [c.split()[0] for c in PIECES.split(", ")]
 
     def run(table: pa.Table, states: pa.Table) -> pa.Table:
-        bucket, table = (table if table.num_rows else states)["bucket"][0].as_py(), _known(table)
-        text, ends = _joined(table)
+        bucket, (text, ends, ids) = table["bucket"][0].as_py(), _known(table, states)
         first, count, prints = _anchored(text, ends)
         values, shard, place = _distinct(prints, print_shards)
         bits = np.zeros((2, len(values)), bool)
         own, cuts = _by_shard(shard)
         at = {int(s): (a, b) for s, a, b in zip(own, cuts[:-1], cuts[1:])}
+        states = states.filter(pc.is_null(states["copy"]))
         for s, again, hot in zip(*(states[c].to_pylist() for c in ("shard", "again", "hot"))):
             a, b = at[s]
             for bit, packed in zip(bits, (again, hot)):
@@ -219,7 +233,6 @@ def _pieces(print_shards: int, shards: int):
             spans = [inner + o for o in (0, 8, 16, 24, 32, 40, LENGTH - 8)]
             key = np.concatenate([key, _mixed([words[s] for s in spans]) % np.uint64(shards)])
         first, size = np.concatenate([first[cool], inner]), np.concatenate([count[cool] + LENGTH - 1, np.full(len(inner), LENGTH)])
-        ids, rows = table["doc_id"].to_numpy(), table["row"].to_numpy()
         out: list[dict] = []
         for chunk in _chunks(size):
             f, n, k = first[chunk], size[chunk], key[chunk].astype(np.int64)
@@ -229,7 +242,7 @@ def _pieces(print_shards: int, shards: int):
             coded = strings.dictionary_encode()
             of, bodies = coded.indices.to_numpy().astype(np.int64), coded.dictionary
             doc_at = np.searchsorted(ends, f, "right")
-            doc, row, place = ids[doc_at], rows[doc_at], f - np.append(0, ends)[doc_at]
+            doc, row, place = ids[doc_at], doc_at, f - np.append(0, ends)[doc_at]
             least = np.full(len(bodies), np.iinfo(np.int64).max)
             np.minimum.at(least, of, doc)
             home = np.empty(len(bodies), np.int64)
@@ -386,52 +399,65 @@ RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 def _rest(table: pa.Table, spans: pa.Table) -> pa.Table:
     """What is left of each text of a bucket."""
-    rows = table["row"].to_numpy()
-    bodies = table["body"].to_pylist()
-    order = np.argsort(rows)
-    ends = np.cumsum([len(b) + 1 for b in bodies])  # a place between texts keeps their runs apart
-    base = ends - [len(b) + 1 for b in bodies]
+    keys, bodies, copied = _keys(table), table["body"].to_pylist(), _copied(spans)
+    index = {key: i for i, key in enumerate(sorted(set(keys) - copied))}
+    told = spans.filter(pc.is_null(spans["copy"]))
     row, begins, upto = (
-        np.concatenate([np.zeros(0, np.int64), *_numbers(spans[c])]) for c in ("row", "begins", "ends")
+        np.concatenate([np.zeros(0, np.int64), *_numbers(told[c])]) for c in ("row", "begins", "ends")
     )
-    text = order[np.searchsorted(rows[order], row)] if len(row) else row
-    lo, hi = base[text] + begins, base[text] + upto
-    by = np.argsort(lo, kind="stable")
-    lo, hi = lo[by], np.maximum.accumulate(hi[by]) if len(hi) else hi
-    new = np.append(True, lo[1:] > hi[:-1])[: len(lo)]
-    lo, hi = lo[new], hi[np.append(new[1:], True)[: len(new)].astype(bool)]
-    cuts = np.searchsorted(lo, np.append(base, ends[-1:]))
+    by = np.lexsort((begins, row))
+    row, begins, upto = row[by], begins[by], upto[by]
+    cuts = np.searchsorted(row, np.arange(len(index) + 1))
     out: dict[str, list] = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
-    for i, body in enumerate(bodies):
-        sha, at, removed = hashlib.sha256(), 0, 0
-        for a, b in zip((lo[cuts[i] : cuts[i + 1]] - base[i]).tolist(), (hi[cuts[i] : cuts[i + 1]] - base[i]).tolist()):
-            sha.update(body[at:a])
-            at, removed = b, removed + b - a
+    for key, body in zip(keys, bodies):
+        if key in copied:
+            runs = [(0, len(body))] if len(body) >= LENGTH else []
+        else:
+            a, b = cuts[index[key]], cuts[index[key] + 1]
+            lo, hi = begins[a:b], np.maximum.accumulate(upto[a:b])
+            new = np.append(True, lo[1:] > hi[:-1])[: len(lo)]
+            runs = list(zip(lo[new].tolist(), hi[np.append(new[1:], True)[: len(new)]].tolist()))
+        sha, at = hashlib.sha256(), 0
+        for lo, hi in runs:
+            sha.update(body[at:lo])
+            at = hi
         sha.update(body[at:])
-        for name, value in zip(out, (len(body), removed, int(cuts[i + 1] - cuts[i]), sha.hexdigest())):
+        for name, value in zip(out, (len(body), sum(hi - lo for lo, hi in runs), len(runs), sha.hexdigest())):
             out[name].append(value)
     return pa.table({"doc_id": table["doc_id"], **out})
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row of `docs` (doc_id, text)."""
-    size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    docs = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("body")
+    )
+    size = docs.select(F.sum(F.octet_length("body"))).first()[0] or 0
     shards = size // SHARD + 1
     print_shards = 2 * size // ((LENGTH - GRAM + 2) * PRINTS) + 1  # two of so many windows begin a piece
-    texts = (
-        docs.select(
-            F.monotonically_increasing_id().alias("row"),
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.coalesce("text", F.lit("")).cast("binary").alias("body"),
-        )
-        .withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(size // BUCKET + 1)))
-        .repartition("bucket")
+    placed = docs.filter("doc_id is not null").withColumn(
+        "bucket", F.pmod(F.xxhash64("doc_id", "body"), F.lit(size // BUCKET + 1))
     )
-    prints = texts.groupBy("bucket").applyInArrow(
+    by_bucket, copies = placed.repartition("bucket").groupBy("bucket"), _copies(placed)
+    prints = by_bucket.cogroup(copies.groupBy("bucket")).applyInArrow(
         _anchors(print_shards), "shard long, bucket long, prints binary, counts binary"
     )
     states = prints.groupBy("shard").applyInArrow(_recurring, "bucket long, shard long, again binary, hot binary")
-    by_bucket = texts.groupBy("bucket")
+    states = states.unionByName(copies, allowMissingColumns=True)
     dealt = by_bucket.cogroup(states.groupBy("bucket")).applyInArrow(_pieces(print_shards, shards), PIECES)
-    spans = dealt.groupBy("shard").applyInArrow(_repeats, SPANS)
-    return by_bucket.cogroup(spans.groupBy("bucket")).applyInArrow(_rest, RESULT)
+    spans = dealt.groupBy("shard").applyInArrow(_repeats, SPANS).unionByName(copies, allowMissingColumns=True)
+    whole = docs.filter("doc_id is null").select(
+        "doc_id", F.octet_length("body").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
+        F.lit(0).cast("long").alias("n_spans"), F.sha2("body", 256).alias("kept_sha256"),
+    )
+    return by_bucket.cogroup(spans.groupBy("bucket")).applyInArrow(_rest, RESULT).unionByName(whole)
+
+
+def _copies(placed: DataFrame) -> DataFrame:
+    """(bucket, copy_of, copy): texts, by document and SHA-256, that are wholly those of a smaller document."""
+    sums = placed.select("bucket", "doc_id", F.unhex(F.sha2("body", 256)).alias("copy"))
+    first = sums.groupBy("copy").agg(F.min("doc_id").alias("least"))
+    later = many_to_one(sums, first, ["copy"]).filter("doc_id > least")
+    return later.select(F.col("bucket").alias("home"), F.col("doc_id").alias("copy_of"), "copy").distinct().withColumnRenamed(
+        "home", "bucket"
+    )
