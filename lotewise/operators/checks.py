@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotewise.functions.text import fold
+from lotewise.session import keep
+
 
 def field_checks(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
     """D3: (key, check) for every rule a row breaks; a NULL rule counts as kept."""
@@ -22,62 +27,43 @@ def foreign_text(
     Works for label lists of any size (a label must have a non-space character). A
     label is looked up by one piece that any text holding it must have: of its inner words
     the one that the fewest texts hold, so that a common word never makes all texts meet all
-    labels; or, when it has no word between others, its longest word as a part of a word. Only texts and labels that share such a piece meet, in an equi-join,
-    and the containment is then tested on the whole text.
+    labels; or, when it has no word between others, its longest word as a part of a word.
+
+    Texts are cut into words once. Only the pieces that some label asks for are kept, as an index (piece, text)
+    in the shared folder: while the labels are few enough to be broadcast, no word is shuffled at all, and else each once.
+    Texts and labels that share a piece meet in an equi-join, and the containment is then tested on the whole text.
     """
-    tokens = F.filter(F.split(F.col(label), r"\s+"), lambda t: t != "")
-    inner = F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 2, F.lit(0)))
     listed = labels.filter(F.col(label).rlike(r"\S")).select(
         F.col(label_key).alias("__lk"), F.col(label).alias("__label")
     )
-    longest = lambda items: F.reduce(
-        items,
-        F.lit(""),
-        lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best),
-    )
-    pieces = labels.filter(F.col(label).rlike(r"\S")).select(
-        F.col(label_key).alias("__lk"), inner.alias("__inner"), longest(tokens).alias("__piece")
-    )
+    tokens = F.filter(F.split("__label", r"\s+"), lambda t: t != "")
+    longest = F.reduce(tokens, F.lit(""), lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best))
+    inner = F.slice(tokens, F.lit(2), F.greatest(F.size(tokens) - 2, F.lit(0)))
+    pieces = keep(listed.select("__lk", inner.alias("__inner"), longest.alias("__piece")), "label-pieces")
     by_part = pieces.filter("size(__inner) = 0").select("__lk", "__piece")
-
-    words = df.select(
-        F.col(key).alias("__k"),
-        F.explode(F.array_distinct(F.split(F.col(value), r"\s+"))).alias("__piece"),
-    )
     inside = pieces.select("__lk", F.explode(F.array_distinct("__inner")).alias("__piece"))
-    held = (
-        words.join(inside.select("__piece").distinct(), "__piece", "left_semi")
-        .groupBy("__piece")
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
+
+    words = F.split(F.col(value), r"\s+")
+    lengths = sorted(by_part.agg(F.collect_set(F.length("__piece")).alias("n")).head()["n"])
+    if lengths:  # parts of words, only of the lengths some label asks for
+        fitting = lambda w: F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length(w))
+        places = lambda w, n: F.sequence(F.lit(1), F.length(w) - n + 1)
+        parts = lambda w: F.flatten(
+            F.transform(fitting(w), lambda n: F.transform(places(w, n), lambda i: F.substring(w, i, n)))
+        )
+        words = F.concat(words, F.flatten(F.transform(F.array_distinct(words), parts)))
+    asked = inside.select("__piece").unionByName(by_part.select("__piece")).distinct()
+    cut = df.select(F.col(key).alias("__k"), F.explode(F.array_distinct(words)).alias("__piece"))
+    index = keep(cut.join(asked, "__piece", "left_semi"), "piece-index")
+
+    held = index.groupBy("__piece").agg(F.count(F.lit(1)).alias("__n"))
     # a label with an inner word that no text holds is in no text
     by_word = (
         inside.join(held, "__piece", "left")
         .groupBy("__lk")
         .agg(F.min_by("__piece", F.struct(F.coalesce("__n", F.lit(0)), "__piece")).alias("__piece"))
     )
-    candidates = words.join(by_word, "__piece").select("__k", "__lk")
-    # parts of words, only of the lengths some label asks for
-    lengths = by_part.agg(F.collect_set(F.length("__piece")).alias("n")).head()["n"]
-    if lengths:
-        word = F.col("__piece")
-        fitting = F.filter(
-            F.array(*(F.lit(n) for n in sorted(lengths))), lambda n: n <= F.length(word)
-        )
-        parts = F.flatten(
-            F.transform(
-                fitting,
-                lambda n: F.transform(
-                    F.sequence(F.lit(1), F.length(word) - n + 1),
-                    lambda i: F.substring(word, i, n),
-                ),
-            )
-        )
-        text_parts = words.select("__k", F.explode(F.array_distinct(parts)).alias("__piece"))
-        candidates = candidates.unionByName(
-            text_parts.join(by_part, "__piece").select("__k", "__lk")
-        )
-    pairs = candidates.distinct().join(listed, "__lk")
+    pairs = index.join(by_word.unionByName(by_part), "__piece").select("__k", "__lk").distinct().join(listed, "__lk")
     whole = df.select(F.col(key).alias("__k"), F.col(value).alias("__value"))
     return (
         whole.join(pairs, "__k")
@@ -86,6 +72,21 @@ def foreign_text(
     )
 
 
+def foreign_labels(df: DataFrame, key: str, columns: Sequence[str], labels: DataFrame) -> DataFrame:
+    """D4 over all text columns of a table: (key, column, label) wherever a column's text contains a printed
+    label (`labels`: label, field) of another column. A label in the column it belongs to is no
+    contamination. Text and labels are compared folded.
+    """
+    texts = F.array(*(F.struct(F.lit(c).alias("column"), fold(F.col(c).cast("string")).alias("text")) for c in columns))
+    cells = df.select(F.col(key).alias("__key"), F.inline(texts)).filter("text <> ''")
+    cells = cells.select(F.struct("__key", "column").alias("__cell"), "text")
+    listed = labels.select(F.struct("label", "field").alias("__of"), fold("label").alias("__folded"))
+    found = foreign_text(cells, "__cell", "text", listed, "__of", "__folded")
+    return found.filter("__cell.column <> __of.field").select(
+        F.col("__cell.__key").alias(key), F.col("__cell.column").alias("column"), F.col("__of.label").alias("label")
+    )
+
+
 def seeded(key: str, seed: int) -> Column:
     """A repeatable shuffle position for a key."""
     return F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")))

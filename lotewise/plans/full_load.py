@@ -8,11 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lotewise.functions.numbers import unit_value
 from lotewise.functions.text import fold, fold_label, fold_label_py
 from lotewise.operators.coordinates import (
+    address_key,
     carry_coordinates,
+    coordinate_patch,
     geocode_cached,
     merge_coordinates,
     needs_coordinate,
@@ -36,16 +39,19 @@ from lotewise.operators.photos import (
     select_photos,
 )
 from lotewise.operators.ranking import running_total
-from lotewise.operators.selection import split_excluded
+from lotewise.operators.selection import select_reprocess, split_excluded
 from lotewise.plans import form
 from lotewise.schemas import REPORT_KEY, REPORTS, SAMPLE_KEY, SAMPLES
 from lotewise.session import drop_dir, keep, shared_dir
 from lotewise.sources import snapshot
 from lotewise.sources.catalog import stored_form
+from lotewise.sources.ledger import read_ledger, write_entries
 
 REPORT_TABLE, SAMPLE_TABLE = "laudos", "laudos_amostras"
 #: The fields of a row that are printed but could not be read.
 UNREAD = "nao_lidos"
+STORED_ADDRESS = StructType([f for f in REPORTS.fields if f.name in ("codigo_laudo", "logradouro", "municipio")])
+PLANNED = "codigo_laudo string, sha256 string, label string, file_name string"
 LISTS = ("infraestrutura", "infraestrutura_urbana", "servicos_publicos")
 
 
@@ -339,6 +345,90 @@ def stage(
     return staged_gates(tables, folders, ignore)
 
 
+@dataclass
+class Run:
+    """What one run did: the reports it read, the stored version, the photo plan."""
+
+    read: DataFrame
+    excluded: DataFrame
+    version: int
+    photos: DataFrame | None
+
+
+def run(
+    spark: SparkSession,
+    files: DataFrame,
+    words: DataFrame,
+    path: str,
+    excluded_dir: str,
+    batch: int,
+    mode: str = "new",
+    keys: DataFrame | None = None,
+    boxes: DataFrame | None = None,
+    legacy: dict[str, dict[str, str]] | None = None,
+    photos: DataFrame | None = None,
+    existing_photos: DataFrame | None = None,
+    answer: Callable[[DataFrame], DataFrame] | None = None,
+    checks: Callable[[], Sequence[Check]] = form.report_checks,
+    sample_checks: Callable[[], Sequence[Check]] = form.sample_checks,
+    ignore: bool = False,
+) -> Run:
+    """A whole run: choose the reports, read them, gate, store, photos, coordinates.
+
+    `files` (codigo_laudo, ...) are the reports at hand; A7 chooses by `mode` those to read, never one that
+    the ledger in `excluded_dir` lists. Words and boxes of the others are not read. Reports of whole
+    developments go into the ledger under the number `batch` (a run that is repeated keeps its number) once the
+    load is committed; a rejected batch raises before that, and photos are planned for no report of it. `answer`
+    looks up addresses, as `geocode` does; its coordinates are written back last.
+    """
+    stored = snapshot.read_table(spark, path, REPORT_TABLE, STORED_ADDRESS).select("codigo_laudo", "logradouro", "municipio")
+    listed = read_ledger(spark, excluded_dir, before=batch)
+    chosen = keep(select_reprocess(files, stored, listed, mode, keys).select("codigo_laudo").distinct(), "chosen")
+
+    def of_chosen(table: DataFrame) -> DataFrame:
+        return many_to_one(table, chosen, ["codigo_laudo"], "left_semi")
+
+    read = extract(of_chosen(words), legacy=legacy, boxes=None if boxes is None else of_chosen(boxes))
+    schema = for_storage(read.reports, read.samples)[0].schema
+    version = load(spark, read, path, checks, ignore, sample_checks)
+    excluded = keep(
+        read.excluded.select("codigo_laudo", F.lit("excluded").alias("status"), F.current_timestamp().alias("checked_at")),
+        "excluded",
+    )
+    write_entries(excluded, excluded_dir, batch)
+    plan = None
+    if photos is not None:
+        there = existing_photos if existing_photos is not None else spark.createDataFrame([], PLANNED)
+        plan = keep(plan_photos(of_chosen(photos), read.reports.select("codigo_laudo", "modelo"), there), "photo-plan")
+    if answer is not None:
+        version = write_coordinates(spark, path, schema, answer)
+    return Run(chosen, excluded, version, plan)
+
+
+def write_coordinates(
+    spark: SparkSession, path: str, schema: StructType, answer: Callable[[DataFrame], DataFrame]
+) -> int:
+    """G1-G4 on the stored reports; returns the stored version.
+
+    `answer` looks up the addresses of reports without a coordinate (as `geocode` does). The three coordinate
+    columns alone are written, into rows that still lack a coordinate and still have that address; whatever else
+    has changed in between stays. Only buckets with a hit are rewritten.
+    """
+    stored = snapshot.read_table(spark, path, REPORT_TABLE, schema)
+    patch = keep(coordinate_patch(stored, answer(needs_coordinate(stored))), "coordinates")
+    lacks = F.col("latitude").isNull() | F.col("longitude").isNull()
+    return snapshot.update_columns(
+        spark,
+        path,
+        REPORT_TABLE,
+        schema,
+        patch,
+        "codigo_laudo",
+        ["latitude", "longitude", "origem_coordenada"],
+        lacks & (address_key() == F.col("new_endereco_chave")),
+    )
+
+
 def stored_tables(spark: SparkSession, path: str, reports, samples) -> tuple[DataFrame, DataFrame]:
     """Both tables as last committed, by the schemas of `reports` and `samples`."""
     return (

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lotewise.operators.audit import accuracy_by_field, reconcile
-from lotewise.operators.checks import foreign_text, random_sample
+from lotewise.operators.audit import accuracy_by_field, reconcile, reconcile_samples
+from lotewise.operators.checks import foreign_labels, foreign_text, random_sample
 from lotewise.operators.quality import (
     empty_fields,
     incoherent_values,
@@ -317,3 +319,91 @@ def everything(spark, sf):
             ),
         }
     )
+
+
+SAMPLE_FIELDS = {
+    "valor": "number", "area_privativa": "number", "idade": "number", "endereco": "text",
+    "padrao": "text", "conservacao": "text", "url": "text",
+}
+SAMPLES_SQL = f"""
+  with drawn as ({SAMPLE_SQL}),
+       s as (select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_extendedprice,
+                                          l_quantity, l_shipdate) as n
+             from lineitem where l_orderkey in (select o_orderkey from drawn)),
+       v as (select cast(l_orderkey as varchar) as codigo_laudo, n::int as numero_amostra,
+                    cast(l_extendedprice as decimal(18,2)) as valor, cast(floor(l_quantity) as bigint) as area,
+                    cast(round(l_discount * 100) as bigint) as idade, l_partkey, l_suppkey, l_returnflag, l_linestatus from s),
+       f as (
+         select codigo_laudo, numero_amostra, 'valor' as field, cast(valor as varchar) as stored,
+                cast(valor + case when l_partkey % 10 = 1 then 5 else 0 end as varchar) as second,
+                case when l_partkey % 10 = 1 then 'inconsistent report' else 'match' end as outcome from v
+         union all
+         select codigo_laudo, numero_amostra, 'area_privativa', cast(area + case when l_partkey % 13 = 1 then 1 else 0 end as varchar),
+                cast(area as varchar), case when l_partkey % 13 = 1 then 'extraction error' else 'match' end from v
+         union all select codigo_laudo, numero_amostra, 'idade', cast(idade as varchar), cast(idade as varchar), 'match' from v
+         union all select codigo_laudo, numero_amostra, 'endereco', 'Rua ' || l_partkey, 'RUA  ' || l_partkey, 'match' from v
+         union all select codigo_laudo, numero_amostra, 'padrao', l_returnflag, l_returnflag, 'match' from v
+         union all select codigo_laudo, numero_amostra, 'conservacao', l_linestatus, l_linestatus, 'match' from v
+         union all select codigo_laudo, numero_amostra, 'url', 's' || l_suppkey, 's' || l_suppkey, 'match' from v
+                   where l_suppkey % 7 <> 0)
+  select *, 'calculo' as source from f"""
+
+
+@query("reconcile_samples", SAMPLES_SQL)
+def renumbered(spark, sf):
+    """Samples of 500 drawn reports; the second source numbers them from the end, and some fields are off on either side."""
+    drawn_reports = random_sample(table(spark, sf, "orders"), "o_orderkey", 500).select(F.col("o_orderkey").alias("l_orderkey"))
+    order = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_shipdate")
+    lines = table(spark, sf, "lineitem").withColumn("n", F.row_number().over(order))
+    n_of_report = F.count(F.lit(1)).over(W.partitionBy("l_orderkey"))
+    lines = lines.withColumn("back", (n_of_report - F.col("n") + 1).cast("int"))
+    area = F.floor("l_quantity")
+    right = {
+        "valor": F.col("l_extendedprice").cast("decimal(18,2)"),
+        "area_privativa": area,
+        "idade": F.round(F.col("l_discount") * 100).cast("long"),
+        "endereco": F.concat(F.lit("Rua "), F.col("l_partkey").cast("string")),
+        "padrao": F.col("l_returnflag"),
+        "conservacao": F.col("l_linestatus"),
+        "url": F.concat(F.lit("s"), F.col("l_suppkey").cast("string")),
+    }
+    code = F.col("l_orderkey").cast("string").alias("codigo_laudo")
+
+    def read(number: str, **off) -> DataFrame:
+        return lines.select(
+            "l_orderkey", code, F.col(number).cast("int").alias("numero_amostra"), *(c.alias(f) for f, c in (right | off).items())
+        )
+
+    wrong_value = right["valor"] + F.when(F.col("l_partkey") % 10 == 1, 5).otherwise(0)
+    second = read(
+        "back",
+        valor=wrong_value.cast("decimal(18,2)"),
+        endereco=F.concat(F.lit("RUA  "), F.col("l_partkey").cast("string")),
+        url=F.when(F.col("l_suppkey") % 7 != 0, right["url"]),
+    ).withColumn("source", F.lit("calculo"))
+    stored = read("n", area_privativa=area + F.when(F.col("l_partkey") % 13 == 1, 1).otherwise(0))
+    stored = stored.join(drawn_reports, "l_orderkey", "left_semi")
+    return reconcile_samples(stored, read("n"), second, "codigo_laudo", "numero_amostra", SAMPLE_FIELDS, ["calculo"], least=4)
+
+
+@query(
+    "foreign_labels",
+    """with cells as (
+         select doc_id, "column", text from (
+           select doc_id, unnest(['texto', 'idioma', 'fonte']) as "column", unnest([text, lang, source]) as text
+           from documents) where text is not null),
+       labels as (select text as label, case item_id % 3 when 0 then 'texto' when 1 then 'idioma' else 'outro' end as field
+                  from benchmark union all select distinct lang, 'idioma' from documents union all select 'Source', 'texto')
+       select doc_id, "column", label from cells join labels on contains(lower("text"), lower(label)) and "column" <> field""",
+)
+def labels_of_other_columns(spark, sf):
+    """Passages and language codes as printed labels; one in its own column is no contamination."""
+    documents = table(spark, sf, "documents").select(
+        "doc_id", F.col("text").alias("texto"), F.col("lang").alias("idioma"), F.col("source").alias("fonte")
+    )
+    item = F.col("item_id") % 3
+    field = F.when(item == 0, "texto").when(item == 1, "idioma").otherwise("outro")
+    labels = table(spark, sf, "benchmark").select(F.col("text").alias("label"), field.alias("field"))
+    codes = documents.select(F.col("idioma").alias("label"), F.lit("idioma").alias("field")).distinct()
+    word = spark.range(1).select(F.lit("Source").alias("label"), F.lit("texto").alias("field"))
+    return foreign_labels(documents, "doc_id", ["texto", "idioma", "fonte"], labels.unionByName(codes).unionByName(word))

@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 from lotewise.operators.coordinates import (
     LEVELS,
     address_key,
+    carry_coordinates,
     geocode,
     geocode_cached,
     geocode_error,
     merge_coordinates,
     needs_coordinate,
 )
+from lotewise.plans.full_load import REPORT_TABLE, write_coordinates
 from lotewise.registry.base import query, table
+from lotewise.session import shared_dir
+from lotewise.sources import snapshot
 
 ADDRESS_SQL = """
   select 'Rua ' || (k % 10) as logradouro, cast(k % 3 as varchar) as numero,
@@ -92,12 +96,13 @@ def reports(spark, sf):
     )
 
 
-def gazetteer(spark, sf):
+def _with_supplier(spark, sf):
     nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
     supplier = table(spark, sf, "supplier").join(
         nation, F.col("s_nationkey") == F.col("n_nationkey")
     )
     return _with_address(supplier, "s_suppkey", 40).select(
+        "s_suppkey",
         "uf",
         F.col("municipio").alias("city"),
         F.col("logradouro").alias("street"),
@@ -108,6 +113,10 @@ def gazetteer(spark, sf):
     )
 
 
+def gazetteer(spark, sf):
+    return _with_supplier(spark, sf).drop("s_suppkey")
+
+
 @query(
     "needs_coordinate",
     f"""select distinct logradouro, numero, municipio, uf, cep from ({CUSTOMERS})
@@ -167,6 +176,65 @@ def merged(spark, sf):
     )
 
 
+MOVED = f"""select * replace (case when k % 7 = 0 then 'M' || numero else numero end as numero)
+            from ({CUSTOMERS})"""
+LATER_SQL = GEOCODE_SQL.replace(f"({CUSTOMERS})", f"({MOVED})").replace(
+    f"({SUPPLIERS})", f"(select * from ({SUPPLIERS}) where k % 2 = 0)"
+)
+
+
+@query(
+    "coordinates_written_back",
+    f"""with c1 as (select k as id, {CHAVE} as first_key from ({CUSTOMERS})),
+             c2 as (select *, {CHAVE} as later_key from ({MOVED})),
+             r as (select c2.*, g1.lat as lat1, g1.lon as lon1, g1.origem as origem1, g2.lat as lat2, g2.lon as lon2,
+                          g2.origem as origem2, k % 3 <> 0 and k % 7 <> 0 and g1.origem is not null as kept
+                   from c2 join c1 on id = k left join ({GEOCODE_SQL}) g1 on g1.endereco_chave = first_key
+                   left join ({LATER_SQL}) g2 on g2.endereco_chave = later_key)
+        select cast(k as varchar) as codigo_laudo,
+               case when c_acctbal > 5000 then -23.5::double when k % 5 = 0 then -10.0::double
+                    when kept then lat1 else lat2 end as latitude,
+               case when c_acctbal > 5000 then -46.6::double when k % 5 = 0 then -40.0::double
+                    when kept then lon1 else lon2 end as longitude,
+               case when c_acctbal > 5000 or k % 5 = 0 then 'laudo'
+                    when kept then origem1 else origem2 end as origem_coordenada
+        from r""",
+)
+def written_back(spark, sf):
+    """Two cycles of load and look-up into one stored table.
+
+    The first has two thirds of the reports and the whole gazetteer. In the second all reports are read: some print a
+    coordinate now, some have another address, and the gazetteer has lost half its places, so that what was
+    calculated before and is kept can be told from what is calculated now.
+    """
+    path = shared_dir(spark, "written-back")
+    first = reports(spark, sf)
+    key = F.col("codigo_laudo").cast("long")
+    prints = (key % 5 == 0) & F.col("latitude").isNull()
+    again = first.withColumns(
+        {
+            "latitude": F.when(prints, F.lit(-10.0)).otherwise(F.col("latitude")),
+            "longitude": F.when(prints, F.lit(-40.0)).otherwise(F.col("longitude")),
+            "numero": F.when(key % 7 == 0, F.concat(F.lit("M"), "numero")).otherwise(F.col("numero")),
+        }
+    )
+    places = gazetteer(spark, sf)
+    lost_half = _with_supplier(spark, sf).filter("s_suppkey % 2 = 0").drop("s_suppkey")
+    for read, known in ((first.filter(key % 3 != 0), places), (again, lost_half)):
+        snapshot.load_batch(
+            spark,
+            path,
+            {REPORT_TABLE: read},
+            {REPORT_TABLE: ["codigo_laudo"]},
+            "codigo_laudo",
+            buckets=16,
+            prepare={REPORT_TABLE: carry_coordinates},
+        )
+        write_coordinates(spark, path, first.schema, lambda asked, known=known: geocode(asked, known))
+    stored = snapshot.read_table(spark, path, REPORT_TABLE, first.schema)
+    return stored.select("codigo_laudo", "latitude", "longitude", "origem_coordenada")
+
+
 @query(
     "geocode_error",
     """with m as (select s_suppkey,

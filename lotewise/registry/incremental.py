@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lotewise.operators.quality import empty_fields
@@ -12,6 +14,7 @@ from lotewise.registry.load import LINE_KEY, UPSERT_SQL, shipped_split
 from lotewise.operators.load import Check
 from lotewise.session import shared_dir
 from lotewise.sources import snapshot
+from lotewise.sources.places import store_places
 from lotewise.streaming.load_new import geocode_new, load_new, read_cache
 
 
@@ -71,6 +74,8 @@ LACKING_SQL = GEOCODE_SQL.replace(
 def addresses_as_they_come(spark, sf):
     base = shared_dir(spark, "geocode-new")
     asked = reports(spark, sf)
+    places = f"places_{uuid.uuid4().hex}"
+    store_places(gazetteer(spark, sf), places, f"{base}/places", buckets=16)
     first = F.col("segmento") == "BUILDING"
     for part in (asked.filter(first), asked.filter(~first)):
         part.write.mode("append").parquet(f"{base}/in")
@@ -80,7 +85,7 @@ def addresses_as_they_come(spark, sf):
             f"{base}/cache",
             f"{base}/checkpoint",
             asked.schema,
-            lambda session: gazetteer(session, sf),
+            places,
         )
     return read_cache(spark, f"{base}/cache")
 

@@ -6,11 +6,12 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotewise.operators.coordinates import geocode, needs_coordinate, unanswered
+from lotewise.operators.coordinates import geocode, geocode_stored, needs_coordinate, unanswered
 from lotewise.operators.load import Check, staged_gate
 from lotewise.session import drop_dir, shared_dir
 from lotewise.sources import snapshot
 from lotewise.sources.files import exists
+from lotewise.sources.places import stored_places
 
 
 def _run_available(
@@ -85,11 +86,14 @@ def geocode_new(
     cache_dir: str,
     checkpoint: str,
     schema,
-    gazetteer: Callable[[SparkSession], DataFrame],
+    gazetteer: Callable[[SparkSession], DataFrame] | str,
     files_per_batch: int | None = None,
 ) -> None:
     """H2: looks up the addresses of reports not taken yet that lack a coordinate; keeps every answer.
 
+    `gazetteer` is the name of a table that `store_places` has written, which no trigger keys or shuffles
+    again, or a function that reads a plain gazetteer, which every trigger keys anew.
+
     Rows without a `latitude` column are addresses to ask for. The cache is a folder of appended Parquet, one subfolder per batch, overwritten
     if that batch is repeated; addresses answered before are not asked again.
     """
@@ -98,7 +102,11 @@ def geocode_new(
         session = batch.sparkSession
         known = read_cache(session, cache_dir, before=batch_id)
         asked = needs_coordinate(batch) if "latitude" in batch.columns else batch
-        new = geocode(unanswered(asked, known), gazetteer(session))
+        open_ones = unanswered(asked, known)
+        if isinstance(gazetteer, str):
+            new = geocode_stored(open_ones, *stored_places(session, gazetteer))
+        else:
+            new = geocode(open_ones, gazetteer(session))
         new.write.mode("overwrite").parquet(f"{cache_dir}/batch={batch_id}")
 
     _run_available(spark, in_dir, schema, checkpoint, per_batch, files_per_batch)

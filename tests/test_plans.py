@@ -4,6 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from lotewise.operators.coordinates import geocode
 from lotewise.operators.load import BatchRejected, Check
 from lotewise.plans.audits import accuracy_audit, quick_test
 from lotewise.plans.full_load import (
@@ -12,7 +13,9 @@ from lotewise.plans.full_load import (
     for_storage,
     load,
     plan_photos,
+    stage,
     stored_tables,
+    write_coordinates,
 )
 from lotewise.schemas import GAZETTEER, PHOTOS, WORDS
 from lotewise.session import shared_dir
@@ -192,3 +195,64 @@ def test_words_are_read_once_for_all_outputs(spark, words, tmp_path):
         plan = output._jdf.queryExecution().executedPlan().toString()
         assert "positioned-words" not in plan
         assert output.count() >= 0
+
+
+def test_sample_values_over_several_lines(spark, rows):
+    """Text runs on over lines and the end of a page; of numbers the first line counts; what has no label is counted."""
+    first = [[(0, "AMOSTRA 1")], [(0, "Endereço: Rua Y, 5,")], [(0, "Boa Viagem - Recife/PE")], [(0, "Valor:")], [(0, "R$ 500.000,00")], [(0, "à vista")]]
+    first += [[(0, "URL: https://x.example/")]]
+    data = page("1", 1, cover("N° do Pedido", "Casa", True)) + page("1", 2, first)
+    data += page("1", 3, [[(0, "longe/1")], [(0, "AMOSTRA 2")], [(0, "sem rótulo aqui")], [(0, "Valor: abc")], [(0, "Obs: nada")]])
+    read = extract(spark.createDataFrame(data, WORDS))
+    assert rows(read.samples, "numero_amostra", "endereco", "valor", "url", "nao_lidos") == [
+        (1, "Rua Y, 5, Boa Viagem - Recife/PE", Decimal("500000.00"), "https://x.example/ longe/1", []),
+        (2, None, None, None, ["valor"]),
+    ]
+    assert {r.field: (r.n_present, r.n_unparsed) for r in read.sample_failures.collect()}["valor"] == (2, 1)
+    assert {r.place: r.n_words for r in read.left_out.collect()}["samples"] == 3
+
+
+def test_a_far_line_ends_a_sample_value(spark, rows):
+    data = page("1", 1, [[(0, "AMOSTRA 1")], [(0, "Conservação: Boa")], [(0, "Valor: 10")], [(0, "Endereço: Rua A")]])
+    data += [("1", 1, 0.0, 30.0, 190.0, 200.0, "rodapé")]
+    read = extract(spark.createDataFrame(data, WORDS))
+    assert rows(read.samples, "endereco") == [("Rua A",)]
+    assert {r.place: r.n_words for r in read.left_out.collect()}["samples"] == 1
+
+
+def test_one_gate_for_both_tables(spark, words):
+    """The reports pass; a sample without its report rejects the whole batch."""
+    path = shared_dir(spark, "t")
+    batch = extract(words, legacy=LEGACY)
+    stray = batch.samples.limit(1).withColumn("codigo_laudo", F.lit("99"))
+    batch.samples = batch.samples.unionByName(stray)
+    with pytest.raises(BatchRejected, match="laudos_amostras: no report") as rejected:
+        load(spark, batch, path, few_without_value(0.5))
+    assert {(r["table"], r["check"]): r["n_bad"] for r in rejected.value.report} == {
+        ("laudos", "no value"): 1, ("laudos_amostras", "no value"): 1 if stray.filter("valor is null").isEmpty() else 2, ("laudos_amostras", "no report"): 1
+    }
+    assert snapshot.current(spark, path) == (0, {})
+    folders = {name: shared_dir(spark, name) for name in ("laudos", "laudos_amostras")}
+    staged, _, counts = stage(batch, folders, [], [], ignore=True)
+    assert counts["laudos"]["coordenadas"] == 1 and counts["laudos_amostras"]["n_rows"] == 5
+    assert "orphan" not in staged["laudos_amostras"].columns
+
+
+def test_coordinates_written_back_and_kept(spark, words, rows):
+    path = shared_dir(spark, "t")
+    batch = extract(words, legacy=LEGACY)
+    schema = for_storage(batch.reports, batch.samples)[0].schema
+    load(spark, batch, path, few_without_value(1.0))
+    places = spark.createDataFrame([("PE", "Recife", "Rua A", "11", "50000-000", -8.1, -34.8)], GAZETTEER)
+    assert write_coordinates(spark, path, schema, lambda asked: geocode(asked, places)) == 2
+    where = ["codigo_laudo", "latitude", "origem_coordenada"]
+    filled = [("1", -8.05, "laudo"), ("2", -8.1, "calculada_rua"), ("4", None, None)]
+    assert rows(snapshot.read_table(spark, path, "laudos", schema), *where) == filled
+    load(spark, extract(words, legacy=LEGACY), path, few_without_value(1.0))  # read again: it stays
+    assert rows(snapshot.read_table(spark, path, "laudos", schema), *where) == filled
+    other = words.withColumn("text", F.when((F.col("codigo_laudo") == "2") & (F.col("text") == "A,"), "B,").otherwise(F.col("text")))
+    load(spark, extract(other, legacy=LEGACY), path, few_without_value(1.0))  # another address: it goes
+    assert rows(snapshot.read_table(spark, path, "laudos", schema), *where)[1] == ("2", None, None)
+    nothing = spark.createDataFrame([], GAZETTEER)
+    version = snapshot.current(spark, path)[0]
+    assert write_coordinates(spark, path, schema, lambda asked: geocode(asked, nothing)) == version
