@@ -4,11 +4,15 @@ A sentence is a bag of hashed features: its words, and the first four and five l
 each. A linear score s of a sentence becomes the probability that it is toxic, and a
 document is toxic if any of its sentences is: 1 - prod(1 - p), the noisy-or. The weights
 are fitted to document labels through the noisy-or, so the model itself finds out which
-sentences carry the label; afterwards it points at them.
+sentences carry the label; afterwards it points at them. A sentence's probability is measured from that
+of a sentence without any sign, 1 - p = (1 - sigmoid(s)) / (1 - sigmoid(constant)): sentences that show nothing
+add nothing. Faint signs stand in clean texts too, the more the longer they are: `CALM` times what they come to in a
+sentence of the clean documents is taken off for each sentence, but never below the strongest sentence alone. So
+a clean text may be of any length, and one toxic sentence tells in a text of any length.
 
 Training uses a bounded sample: of each label the `PER_LABEL` documents whose hashed id is
-lowest, among those of at most `SAMPLE_CHARS` characters. Their hashed features are all
-that reaches the driver. Every text is scored whole, whatever its length.
+lowest, of any length, one row for each, as long as their features together are no more than
+`FEATURES`. These hashed features are all that reaches the driver. Every text is scored whole, whatever its length.
 
 Nulls: null and empty texts have no sentence and score 0. A null doc_id is scored and
 never matches a label; null labels are ignored, and of several labels of a document the
@@ -27,12 +31,19 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
+from lotewise.session import keep
 
 PER_LABEL = 2000
-SAMPLE_CHARS = 20_000
+#: Hashed features of the sample, for each label; a document that would go beyond is not trained on.
+FEATURES = 12_000_000
 BITS = 18
+#: So many times the evidence of clean documents' sentences is taken off the sum over a document's.
+CALM = 2.0
+#: What a document is toxic by without any sign, in training alone; spread over the sentences it sets their constant.
+LEAK = 0.1
 #: From this probability on a document counts as toxic; a sentence from a half on.
 TOXIC = 0.7
 SENTENCE = 0.5
@@ -60,12 +71,11 @@ def sample(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> li
     Ids are picked from the labels alone, at most `per_label` for each, so the ids that are
     sent to the documents have a fixed bound and no text is shuffled."""
     known = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sizes = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     picked = None
     for toxic in (0, 1):
         part = known.filter(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label)
         picked = part if picked is None else picked.unionByName(part)
-    short = docs.select("doc_id", "text").filter(F.char_length("text") <= SAMPLE_CHARS)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,28 +85,33 @@ def sample(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> li
                 bags = [sorted({f for w in low[a:b].split() for f in features(w)}) for a, b in sentences(low)]
                 flat.append(np.array([f for bag in bags for f in bag], np.int32).tobytes())
                 sizes.append(np.array([len(bag) for bag in bags], np.int32).tobytes())
-            columns = [batch.column(2), pa.array(flat, pa.binary()), pa.array(sizes, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["toxic", "flat", "sizes"])
+            columns = [batch.column(0), batch.column(2), pa.array(flat, pa.binary()), pa.array(sizes, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "toxic", "flat", "sizes"])
 
-    of_both = short.join(F.broadcast(picked), "doc_id").select("doc_id", "text", F.col("toxic").cast("int"))
-    rows = of_both.mapInArrow(hashed, "toxic int, flat binary, sizes binary").toArrow().to_pylist()
+    of_both = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(picked), "doc_id").select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("toxic").cast("int").alias("toxic")
+    )
+    bags = of_both.mapInArrow(hashed, "doc_id long, toxic int, flat binary, sizes binary")
+    one_each = bags.groupBy("doc_id", "toxic").agg(F.min(F.struct("flat", "sizes")).alias("b")).filter("length(b.sizes) > 0")
+    upto = W.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(W.unboundedPreceding, 0)
+    within = keep(one_each, "sampled").withColumn("total", F.sum(F.length("b.flat") / 4).over(upto))
+    rows = within.filter(F.col("total") <= FEATURES).select("toxic", "b.flat", "b.sizes").toArrow().to_pylist()
     got = Counter(r["toxic"] for r in rows)
     return [
-        (r["toxic"], np.frombuffer(r["flat"], np.int32), np.frombuffer(r["sizes"], np.int32), sizes[r["toxic"]] / got[r["toxic"]])
+        (r["toxic"], np.frombuffer(r["flat"], np.int32), np.frombuffer(r["sizes"], np.int32), counts[r["toxic"]] / got[r["toxic"]])
         for r in rows
-        if r["sizes"]
     ]
 
 
-def train(rows: list, least: int = 5, rounds: int = 60, cost: float = 0.5) -> np.ndarray:
-    """Weights of the features and, last, the constant.
+def train(rows: list, least: int = 5, rounds: int = 60, cost: float = 0.2) -> np.ndarray:
+    """Weights of the features and, last, the constant and the evidence of a sentence of clean documents.
 
     Only signs of toxicity get a weight: it is never negative, each unit of it costs
     `cost`, and a feature must stand in `least` toxic documents, twice as densely as in
     clean ones. So the many rare words of a small sample cannot be learnt by heart. All
     rows take part in each round; a step is scaled by how common its feature is."""
     if {t for t, *_ in rows} != {0, 1}:
-        return np.append(np.zeros(1 << BITS), -np.inf)
+        return np.append(np.zeros(1 << BITS), [-np.inf, 0.0])
     toxic = np.array([t for t, *_ in rows])
     weight = np.array([x for *_, x in rows])
     of_doc = np.repeat(np.arange(len(rows), dtype=np.int32), [len(sizes) for _, _, sizes, _ in rows])
@@ -116,19 +131,21 @@ def train(rows: list, least: int = 5, rounds: int = 60, cost: float = 0.5) -> np
     feature, of_bag = place[feature[known]], of_bag[known]
 
     w = np.zeros(len(used))
-    constant = math.log(0.02 * len(rows) / count)
+    constant = math.log(LEAK * len(rows) / count)
+    rest = 1 / (1 + math.exp(-constant))
     for _ in range(rounds):
         z = constant + np.bincount(of_bag, w[feature], count)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        clean = np.exp(np.bincount(of_doc, np.log1p(-np.minimum(p, 1 - 1e-9)), len(rows)))
+        clean = (1 - LEAK) * np.exp(np.bincount(of_doc, np.log1p(-np.minimum(p, 1 - 1e-9)) - math.log1p(-rest), len(rows)))
         # of the noisy-or: a toxic document pulls its likeliest sentences up, a clean one pushes all down
         pull = np.where(toxic == 1, -clean / np.maximum(1 - clean, 1e-9), 1.0) * weight
         slope = pull[of_doc] * p
         grad = np.bincount(feature, slope[of_bag], len(used)) + cost
         w = np.maximum(0, w - grad / (0.1 * seen[used] + 5))
-        constant -= 0.3 * slope.sum() / (0.3 * np.abs(slope).sum() + 1)
-    full = np.zeros((1 << BITS) + 1)
-    full[used], full[-1] = w, constant
+    evidence = np.logaddexp(0, constant + np.bincount(of_bag, w[feature], count)) - np.logaddexp(0, constant)
+    quiet = np.where(toxic == 0, weight, 0.0)[of_doc]
+    full = np.zeros((1 << BITS) + 2)
+    full[used], full[-2:] = w, (constant, (quiet * evidence).sum() / quiet.sum())
     return full
 
 
@@ -138,7 +155,8 @@ class Scorer:
     KEPT = 1 << 20
 
     def __init__(self, weights: np.ndarray) -> None:
-        self.constant = float(weights[-1])
+        self.constant, self.usual = float(weights[-2]), float(weights[-1])
+        self.rest = math.log1p(math.exp(self.constant))
 
         class Added(dict):
             def __missing__(self, word: str) -> float:
@@ -154,13 +172,18 @@ class Scorer:
         low = text.lower()
         if len(low) != len(text):  # a letter that grows in lower case would shift places
             low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
-        clean, found, added = 0.0, [], self.added
+        most, total, found, added = 0.0, 0.0, [], self.added
         for a, b in sentences(low):
-            z = self.constant + sum(added[w] for w in set(low[a:b].split()))
-            clean -= math.log1p(math.exp(z)) if z < 30 else z
+            total -= CALM * self.usual
+            signs = sum(added[w] for w in set(low[a:b].split()))
+            if not signs:
+                continue
+            z = self.constant + signs
+            evidence = (math.log1p(math.exp(z)) if z < 30 else z) - self.rest
+            most, total = max(most, evidence), total + evidence
             if z >= 0:
                 found.append((a, b, 1 / (1 + math.exp(-z))))
-        return -math.expm1(clean), found
+        return -math.expm1(-max(most, total)), found
 
 
 SCORED = StructType(

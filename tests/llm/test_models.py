@@ -73,6 +73,34 @@ def test_toxicity(spark):
     assert len(odd) == len(ODD) and all(0 <= r.score <= 1 for r in odd)
     none = toxicity.score_documents(documents(spark, ODD), marks.filter("toxic = 1")).collect()
     assert {r.score for r in none} == {0.0}
+    assert toxicity.score_documents(documents(spark, []), marks).count() == 0
+    assert toxicity.sample(documents(spark, rows + rows), marks)[0][0] in (0, 1)
+    assert len(toxicity.sample(documents(spark, rows + rows), marks)) == len(rows)  # one row of an id
+    # clean texts joined to any length stay clean, one toxic sentence inside still tells
+    clean = " ".join(t for i, t in rows if i % 4 and got[i].score < 0.7)
+    joined = [(k, " ".join([clean] * k)) for k in (1, 10, 12)] + [(99, " ".join([clean] * 3) + " You are such a scum today. " + clean)]
+    assert len(joined[2][1]) > 1_000_000
+    weights = toxicity.train(toxicity.sample(documents(spark, rows), marks.filter(~held)))
+    scored = documents(spark, joined).select("doc_id", toxicity.scored(F.col("text"), weights).alias("s")).collect()
+    long = {r.doc_id: r.s for r in scored}
+    assert [long[k].score >= toxicity.TOXIC for k in (1, 10, 12, 99)] == [False, False, False, True]
+    assert len(long[99].toxic_sentences) == 1
+
+
+def test_toxicity_of_a_text_by_hand():
+    """Noisy-or over sentences, measured from a sentence without signs, against plain arithmetic."""
+    weights = np.zeros((1 << toxicity.BITS) + 2)
+    weights[toxicity.features("scum")[0]], weights[toxicity.features("rat")[0]] = 6.0, 3.0
+    weights[-2:] = -5.0, 0.001
+    scorer = toxicity.Scorer(weights)
+    sigmoid = lambda z: 1 / (1 + math.exp(-z))
+    p = lambda z: 1 - (1 - sigmoid(z)) / (1 - sigmoid(-5.0))
+    assert scorer("nothing here. nor here.") == (0.0, [])
+    score, found = scorer("You scum! A rat. So.")
+    off = math.exp(3 * 0.001 * toxicity.CALM)
+    assert math.isclose(score, 1 - (1 - p(1.0)) * (1 - p(-2.0)) * off, rel_tol=1e-9)
+    assert [(a, b) for a, b, _ in found] == [(0, 8)] and math.isclose(found[0][2], sigmoid(1.0))
+    assert math.isclose(scorer("scum. " + "so. " * 5000)[0], p(1.0))  # never below the strongest sentence
 
 
 def test_sentencepiece_round_trip(spark):
