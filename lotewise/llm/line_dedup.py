@@ -1,7 +1,9 @@
 """Line dedup by winnowing: repeated runs of lines are found by guaranteed fingerprints.
 
 A line ends at a line feed or, so that a passage inside a long line is seen too, after a
-full stop, exclamation or question mark, whatever its length. Lines are compared by the hash of what stands
+full stop, exclamation or question mark, whatever its length. Blank lines are left out first: what is
+said here of lines and their neighbours is said of lines with words. Blank lines inside a run go with it,
+those before and after stay. Lines are compared by the hash of what stands
 between their outer white space, and hashed again in pairs of neighbours. Fingerprints are
 the smaller of every two neighbouring pair hashes, and whatever has `MIN_WORDS` words by
 itself, a pair or a line. A run of that many words holds at least one of these, and the
@@ -76,7 +78,7 @@ def fingerprints(hashed: DataFrame) -> DataFrame:
             behind = lambda i: (i > 0) & (F.get(g, i) <= F.get(g, i - 1))
             chosen = F.filter(
                 F.sequence(F.lit(0), last),
-                lambda i: (words(i) > 0) & (ahead(i) | behind(i) | (words(i) >= MIN_WORDS)),
+                lambda i: ahead(i) | behind(i) | (words(i) >= MIN_WORDS),
             )
             return F.transform(chosen, lambda i: place(h, i, 2, F.get(g, i)))
 
@@ -162,7 +164,21 @@ def dedup(docs: DataFrame) -> DataFrame:
     doc = F.coalesce(F.col("doc_id"), F.lit(LAST))
     key = text_key(F.col("text")).bitwiseAND(0x7FFFFFFF).cast("int")  # tells rows of one id apart
     parts = lines(F.col("text"))
-    counted = let(parts, lambda p: F.struct(hashes(p).alias("h"), word_counts(p).alias("w")))
+
+    def spoken(p: Column, body) -> Column:
+        """`body(places, words)` of the lines that have words: blank ones are no lines here."""
+        return let(
+            word_counts(p),
+            lambda w: let(
+                F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.get(w, i) > 0),
+                lambda at: body(at, F.transform(at, lambda i: F.get(w, i))),
+            ),
+        )
+
+    counted = let(
+        parts,
+        lambda p: spoken(p, lambda at, w: F.struct(hashes(F.transform(at, lambda i: F.get(p, i))).alias("h"), w.alias("w"))),
+    )
     hashed = docs.filter("text <> ''").select(doc.alias("doc"), key.alias("key"), counted.alias("c"))
     found = matches(keep(hashed.select("doc", "key", "c.h", "c.w"), "lines"))
     named = found.select(F.col("doc").alias("__doc"), F.col("key").alias("__key"), F.col("ranges").alias("__ranges"))
@@ -172,7 +188,16 @@ def dedup(docs: DataFrame) -> DataFrame:
         kept = F.filter(p, lambda x, i: ~F.exists(runs, lambda r: (r["start"] <= i) & (i < r["end"])))
         return let(kept, lambda k: F.struct(F.array_join(k, "").alias("text"), (F.size(p) - F.size(k)).alias("n")))
 
-    changed = let(parts, lambda p: let(word_counts(p), lambda w: let(repeated(w, F.col("__ranges")), lambda r: without(p, r))))
+    def placed(at: Column, runs: Column) -> Column:
+        """Runs of spoken lines as runs of all lines."""
+        return F.transform(
+            runs, lambda r: F.struct(F.get(at, r["start"]).alias("start"), (F.get(at, r["end"] - 1) + 1).alias("end"))
+        )
+
+    changed = let(
+        parts,
+        lambda p: spoken(p, lambda at, w: let(placed(at, repeated(w, F.col("__ranges"))), lambda r: without(p, r))),
+    )
     same = F.struct(F.col("text").alias("text"), F.lit(0).alias("n"))
     done = joined.withColumn("__done", F.when(F.col("__ranges").isNull(), same).otherwise(changed))
     columns = [F.col("__done.text").alias("text") if c == "text" else F.col(c) for c in docs.columns]

@@ -110,3 +110,19 @@ def test_passages_whose_parts_stand_first_elsewhere(spark):
             rows.append((at, line(at) + "".join(part) + line(at + 1)))
     got = {r.doc_id: r.text for r in line_dedup.dedup(documents(spark, rows)).collect()}
     assert got == {rows[i][0]: t for i, t in brute(rows).items()}
+
+
+def test_blank_lines_between_hide_nothing(spark):
+    """Paragraphs that end with a full stop, a carriage return and a line feed, with an empty one between."""
+    rows = []
+    for n in range(60):
+        passage = f"{prose(9000 + n, 15, 15)}\r\n\r\n{prose(9500 + n, 15, 15)}\r\n"
+        for k in range(2):
+            at = 10_000 + 10 * n + 2 * k
+            rows.append((2 * n + k, f"{prose(at, 20, 20)}\r\n{passage}{prose(at + 1, 20, 20)}\r\n"))
+    got = {r.doc_id: r for r in line_dedup.dedup(documents(spark, rows)).collect()}
+    for i, text in rows:
+        said = [x.strip() for x in LINE.findall(got[i].text) if x.strip()]
+        whole = [x.strip() for x in LINE.findall(text) if x.strip()]
+        assert said == (whole if i % 2 == 0 else [whole[0], whole[-1]])
+    assert line_dedup.dedup(documents(spark, [(1, "\r\n \n"), (2, "\n\n\n")])).filter("n_deleted > 0").count() == 0
