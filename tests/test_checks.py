@@ -4,8 +4,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotewise.operators.audit import accuracy_by_field, reconcile
-from lotewise.operators.checks import canary_sample, field_checks, foreign_text, random_sample, verdict
+from lotewise.operators.checks import (
+    canary_sample,
+    field_checks,
+    foreign_labels,
+    foreign_text,
+    random_sample,
+    verdict,
+)
 from lotewise.operators.load import Check, check_table
+from lotewise.operators.quality import quality_of_table
 
 
 def test_problems_per_report(spark, rows):
@@ -94,3 +102,31 @@ def test_a_common_word_brings_no_text_and_label_together(spark, rows):
     )
     assert rows(found, "k", "lk") == [("hit", "l")]
     found.collect()
+
+
+def test_labels_of_other_columns(spark, rows):
+    df = spark.createDataFrame(
+        [("a", "Casa de vila", "Padrão Alto"), ("b", "Idade: 10 anos", "normal"), ("c", None, "IDADE do imóvel")],
+        "k string, tipo string, padrao string",
+    )
+    labels = spark.createDataFrame([("Padrão", "padrao"), ("Idade", "idade"), ("Tipo", "tipo")], "label string, field string")
+    assert rows(foreign_labels(df, "k", ["tipo", "padrao"], labels)) == [("b", "tipo", "Idade"), ("c", "padrao", "Idade")]
+
+
+def test_words_are_cut_once_and_not_shuffled(spark):
+    """With few labels the only shuffles are those of the small index."""
+    texts = spark.range(200).selectExpr("id as k", "concat('x', id, ' one two three ', id) as t")
+    labels = spark.createDataFrame([(1, "x1 one two"), (2, "three")], "lk int, label string")
+    found = foreign_text(texts, "k", "t", labels, "lk", "label")
+    assert found.count() == 200 + 1
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 200") == 1  # the index is kept: texts are read again for the containment only
+
+
+def test_quality_of_a_table_in_one_reading(spark, rows):
+    table = spark.createDataFrame([(str(i), "a", 10.0 + i % 3) for i in range(30)] + [("99", "a", 500.0), ("98", " ", 0.0)], "k string, t string, v double")
+    got = quality_of_table(table, ["k"], {"low": F.col("v") < 1, "never": F.col("v") < -1}, {"v": ["t"]})
+    assert rows(got.filter("section <> 'empty'"), "section", "check", "key", "value") == [
+        ("incoherent", "low", "98", None), ("outlier", "v a", "99", "500.0"), ("rule", "low", "rows", "1"), ("rule", "never", "rows", "0")
+    ]
+    assert rows(got.filter("section = 'empty' and value <> '0'"), "check", "key", "value") == [("t", "empty", "1"), ("v", "zero", "1")]
