@@ -10,9 +10,13 @@ each end position the best of all starts is kept with a back-pointer. A characte
 no piece is spelled in bytes, which costs 10 more than the worst piece. Segmentations are
 compared with the word they came from, so a clash of hashes cannot change a text.
 
+A word of more than `LONG` characters, as in text without spaces, is cut first at every place that no
+piece found in it reaches over, where the best path must pass; the parts then advance together like
+words. A part that is still long is walked alone, from place to place over the pieces found there, block by block.
+
 As in the library, a space goes before a text, spaces are written as U+2581, and decoding
-takes the first space away again: every text without that sign comes back as it was, and
-the sign itself comes back as a space. The highest sum of scores is not what merging pairs
+takes the first space away again. That sign itself is written as its three bytes, so every text comes back
+as it was (in the library it would come back as a space). The highest sum of scores is not what merging pairs
 gives for a file of the BPE kind (README has how often the two agree).
 
 Nulls: a null text has no ids (null) and decodes to null; an empty one has none (an empty list). Repeated
@@ -33,8 +37,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 SPACE = "▁"
-#: Distinct words whose ids a task keeps.
-KEPT = 1 << 19
+#: Characters of the distinct words whose ids a task keeps.
+KEPT = 1 << 23
+#: Characters from which on a word is cut, and of a block of it in which pieces are looked up at once.
+LONG, BLOCK = 256, 1 << 16
 #: Characters of equally long words that are segmented at once.
 CHUNK = 1 << 18
 
@@ -61,6 +67,22 @@ def _codes(words: list[str], size: int) -> np.ndarray:
     return np.frombuffer(raw, "<u4").reshape(len(words), size).astype(np.uint64)
 
 
+def _long_prefixes(codes: np.ndarray) -> np.ndarray:
+    """`_prefixes` of one long row, put together from blocks, whose hashes follow from each other."""
+    width = 256
+    rows = -(-len(codes) // width)
+    padded = np.zeros(rows * width, np.uint64)
+    padded[: len(codes)] = codes
+    inner = _prefixes(padded.reshape(rows, width))
+    powers = np.array([pow(int(_BASE), n, 1 << 64) for n in range(width + 1)], np.uint64)
+    carry = np.zeros(rows + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(rows):
+            carry[i + 1] = carry[i] * powers[width] + inner[i, width]
+        joined = carry[:-1, None] * powers[None, 1:] + inner[:, 1:]
+    return np.append(np.zeros(1, np.uint64), joined.ravel()[: len(codes)])
+
+
 class Pieces:
     """The pieces of a model file, by length, with sorted keys."""
 
@@ -92,6 +114,71 @@ class Pieces:
             order = np.argsort(keys)
             self.by_size[size] = (keys[order], ids[order], np.array([score[i] for i in ids])[order])
 
+    def _hits(self, word: str, low: int, high: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(start, length, id, score) of the pieces that start from `low` to `high` in a word, by start, longest first."""
+        most = max(self.by_size)
+        part = word[low : high + most]
+        prefix = _prefixes(_codes([part], len(part)))[0] if len(part) < LONG else _long_prefixes(_codes([part], len(part))[0])
+        found = []
+        for length, (keys, ids, scores) in self.by_size.items():
+            if length > len(part):
+                break
+            power = np.uint64(pow(int(_BASE), length, 1 << 64))
+            hashed = (prefix[length:] - prefix[:-length] * power)[: high - low]
+            at = np.minimum(np.searchsorted(keys, hashed), len(keys) - 1)
+            start = np.flatnonzero(keys[at] == hashed)
+            found.append((start + low, np.full(len(start), length), ids[at[start]], scores[at[start]]))
+        start, length, ids, scores = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((-length, start))
+        return start[order], length[order], ids[order], scores[order]
+
+    def segment_long(self, word: str) -> bytes:
+        """The ids of one long word, cut where no piece reaches over."""
+        over = np.zeros(len(word) + 1, np.int32)
+        for low in range(0, len(word), BLOCK):
+            start, length, _, _ = self._hits(word, low, min(low + BLOCK, len(word)))
+            np.add.at(over, start[length > 1] + 1, 1)
+            np.add.at(over, (start + length)[length > 1], -1)
+        cuts = np.flatnonzero(np.cumsum(over)[1:-1] == 0) + 1
+        bounds = [0, *cuts.tolist(), len(word)]
+        parts = [word[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        by_size: dict[int, list[str]] = {}
+        for part in set(parts):
+            by_size.setdefault(len(part), []).append(part)
+        known: dict[str, bytes] = {}
+        for size, some in by_size.items():
+            step = max(1, CHUNK // size)
+            for at in range(0, len(some), step):
+                chunk = some[at : at + step]
+                known.update(zip(chunk, self.segment(chunk) if size <= LONG else map(self._walked, chunk)))
+        return b"".join([known[part] for part in parts])
+
+    def _walked(self, word: str) -> bytes:
+        """The ids of one word in which pieces overlap everywhere."""
+        best = array("d", [-math.inf]) * (len(word) + 1)
+        back, piece = array("i", [1]) * (len(word) + 1), array("i", [-1]) * (len(word) + 1)
+        best[0], at = 0.0, 0
+        for low in range(0, len(word), BLOCK):
+            high = min(low + BLOCK, len(word))
+            for start, length, chosen, score in zip(*(x.tolist() for x in self._hits(word, low, high))):
+                while at < start:  # a character that no piece starts at is spelled
+                    if best[at] + self.spelled >= best[at + 1]:
+                        best[at + 1], back[at + 1], piece[at + 1] = best[at] + self.spelled, 1, -1
+                    at += 1
+                if best[start] + score >= best[start + length]:
+                    best[start + length], back[start + length], piece[start + length] = best[start] + score, length, chosen
+        while at < len(word):
+            if best[at] + self.spelled >= best[at + 1]:
+                best[at + 1], back[at + 1], piece[at + 1] = best[at] + self.spelled, 1, -1
+            at += 1
+        pieces, ends, at = [], [], len(word)
+        while at:
+            pieces.append(piece[at])
+            ends.append(at)
+            at -= back[at]
+        ids = self._with_bytes(word, pieces[::-1], ends[::-1])
+        return ids if self._spells(ids, word) else self._bytes(word)
+
     def segment(self, words: list[str]) -> list[bytes]:
         """The ids of words of one length, each as packed 32-bit integers."""
         size = len(words[0])
@@ -163,21 +250,36 @@ class Encoder:
     def __init__(self, path: str) -> None:
         self.pieces = Pieces(path)
         self.known: dict[str, bytes] = {}
+        self.kept = 0
+        # the key that stands for the sign itself, which no word has
+        self.sign = array("i", [self.pieces.byte[b] for b in SPACE.encode()]).tobytes()
+
+    def words(self, text: str) -> list[str]:
+        """The words of a text; an empty one stands for each U+2581 in it."""
+        first, *rest = text.split(SPACE)
+        out = _WORDS.findall(SPACE + first.replace(" ", SPACE))
+        for part in rest:
+            out.append("")
+            out += _WORDS.findall(part.replace(" ", SPACE))
+        return out
 
     def __call__(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """The ids of each text."""
-        split = [_WORDS.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        if len(self.known) > KEPT:
+        split = [self.words(t) if t else [] for t in texts]
+        if self.kept > KEPT:
             self.known.clear()
+            self.kept = 0
+        self.known[""] = self.sign
         by_size: dict[int, list[str]] = {}
         for word in {w for words in split for w in words}:
             if word not in self.known:
                 by_size.setdefault(len(word), []).append(word)
+                self.kept += len(word)
         for size, words in by_size.items():
             step = max(1, CHUNK // size)
             for at in range(0, len(words), step):
                 some = words[at : at + step]
-                self.known.update(zip(some, self.pieces.segment(some)))
+                self.known.update(zip(some, self.pieces.segment(some) if size <= LONG else map(self.pieces.segment_long, some)))
         known = self.known
         return [
             None if t is None else np.frombuffer(b"".join([known[w] for w in words]), np.int32)
@@ -228,9 +330,7 @@ def round_trip(docs: DataFrame, model: str | None = None) -> DataFrame:
             some = texts.slice(at, 1000).to_pylist()
             coded = encoder(some)
             ids.extend(coded)
-            exact.extend(
-                t is None or encoder.pieces.decode(x.tolist()) == t.replace(SPACE, " ") for t, x in zip(some, coded)
-            )
+            exact.extend(t is None or encoder.pieces.decode(x.tolist()) == t for t, x in zip(some, coded))
         return pa.StructArray.from_arrays([_lists(ids), pa.array(exact, pa.bool_())], names=["ids", "exact"])
 
     kind = StructType([StructField("ids", ArrayType(IntegerType())), StructField("exact", BooleanType())])
