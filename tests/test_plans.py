@@ -1,9 +1,10 @@
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from lotewise.operators.audit import align_samples, reconcile_samples
 from lotewise.operators.coordinates import geocode
 from lotewise.operators.load import BatchRejected, Check
 from lotewise.plans.audits import accuracy_audit, quick_test
@@ -13,6 +14,7 @@ from lotewise.plans.full_load import (
     for_storage,
     load,
     plan_photos,
+    run,
     stage,
     stored_tables,
     write_coordinates,
@@ -20,6 +22,7 @@ from lotewise.plans.full_load import (
 from lotewise.schemas import GAZETTEER, PHOTOS, WORDS
 from lotewise.session import shared_dir
 from lotewise.sources import snapshot
+from lotewise.sources.ledger import read_ledger, write_entries
 
 ADDRESS = "Rua A, 10, Centro - Recife/PE - CEP 50000-000"
 
@@ -256,3 +259,43 @@ def test_coordinates_written_back_and_kept(spark, words, rows):
     nothing = spark.createDataFrame([], GAZETTEER)
     version = snapshot.current(spark, path)[0]
     assert write_coordinates(spark, path, schema, lambda asked: geocode(asked, nothing)) == version
+
+
+def test_two_runs_read_nothing_twice(spark, words, rows):
+    """The second run reads only what is new; the excluded report stays excluded, whatever the mode."""
+    path, ledger = shared_dir(spark, "t"), shared_dir(spark, "ledger")
+    files = spark.createDataFrame([("1",), ("2",), ("3",), ("4",)], "codigo_laudo string")
+    first = run(spark, files.filter("codigo_laudo <> '2'"), words, path, ledger, 1, legacy=LEGACY, ignore=True)
+    assert rows(first.read) == [("1",), ("3",), ("4",)] and rows(first.excluded, "codigo_laudo") == [("3",)]
+    second = run(spark, files, words, path, ledger, 2, legacy=LEGACY, ignore=True)
+    assert rows(second.read) == [("2",)] and second.version == 2
+    assert rows(run(spark, files, words, path, ledger, 3, mode="all", legacy=LEGACY, ignore=True).read) == [("1",), ("2",), ("4",)]
+    # a run that is repeated under its number chooses as it did
+    again = run(spark, files.filter("codigo_laudo = '3'"), words, path, ledger, 1, mode="all", legacy=LEGACY, ignore=True)
+    assert rows(again.read) == [("3",)]
+    assert rows(read_ledger(spark, ledger), "codigo_laudo", "status") == [("3", "excluded")]
+
+
+def test_a_ledger_keeps_the_newest_entry(spark, rows):
+    path = shared_dir(spark, "ledger")
+    entry = lambda *r: spark.createDataFrame(list(r), "codigo_laudo string, status string, checked_at timestamp")
+    day = [datetime(2025, 1, n) for n in (1, 2, 3)]
+    assert read_ledger(spark, path).count() == 0
+    write_entries(entry(("a", "old", day[0]), ("b", "x", day[1])), path, 1)
+    write_entries(entry(("a", "new", day[2])), path, 2)
+    write_entries(entry(("a", "new", day[2])), path, 2)  # the batch comes again
+    assert rows(read_ledger(spark, path), "codigo_laudo", "status") == [("a", "new"), ("b", "x")]
+    assert rows(read_ledger(spark, path, before=2), "codigo_laudo", "status") == [("a", "old"), ("b", "x")]
+
+
+def test_samples_of_two_sources_meet(spark, rows):
+    kind = "c string, n int, valor double, area double, rua string, padrao string"
+    stored = [("1", 1, 10.0, 5.0, "A", "x"), ("1", 2, 10.0, 5.0, "A", "x"), ("1", 3, 20.0, 6.0, "B", "y"), ("1", 4, 30.0, None, "C", "y"), ("2", 1, 10.0, 5.0, "A", "x")]
+    second = [("1", 9, 10.0, 5.0, "a", "X"), ("1", 8, 10.0, 5.0, "A", "x"), ("1", 7, 21.0, 6.0, "B", "y"), ("1", 6, 30.0, 7.0, "C", "y"), ("1", 5, 99.0, 1.0, "Z", "w"), ("3", 1, 10.0, 5.0, "A", "x")]
+    fields = {"valor": "number", "area": "number", "rua": "text", "padrao": "text"}
+    one, other = spark.createDataFrame(stored, kind), spark.createDataFrame(second, kind)
+    pairs = align_samples(one, other, "c", "n", fields, least=3)
+    assert rows(pairs, "c", "n", "second_number") == [("1", 1, 8), ("1", 2, 9), ("1", 3, 7), ("1", 4, 6)]
+    compared = reconcile_samples(one, one, other.withColumn("source", F.lit("s")), "c", "n", fields, ["s"])
+    off = compared.filter("outcome <> 'match'")
+    assert rows(off, "n", "field", "outcome") == [(3, "valor", "inconsistent report"), (4, "area", "extraction error")]
