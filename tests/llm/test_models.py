@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lotewise.llm import lm_scoring, sentencepiece_codec, toxicity
@@ -169,3 +170,14 @@ def test_signs_and_text_without_spaces_come_back(spark):
     assert len(got) == len(rows) and all(r.exact for r in got)
     pieces = sentencepiece_codec.Pieces(sentencepiece_codec.default_model())
     assert {r.doc_id: pieces.decode(r.ids) for r in got} == dict(rows)
+
+
+def test_long_texts_are_worked_through_few_at_once():
+    """256 texts of 20,000 words used to be cut into tokens together, whatever their bytes."""
+    texts = ["word " * 20_000, None, "a b", *["word " * 20_000] * 12]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    parts = list(lm_scoring._texts(iter([batch]), 0))
+    assert sum((part.column(0).to_pylist() for _, part in parts), []) == texts
+    assert max(part.nbytes for _, part in parts) <= lm_scoring.SLICE_BYTES + 1000
+    assert list(lm_scoring._portions([9, 1, 1, 1, 1], 3, 5)) == [(0, 1), (1, 4), (4, 5)]
+    assert list(lm_scoring._portions([], 3, 5)) == []
