@@ -127,8 +127,7 @@ def order_words(spark, sf):
                         o_orderpriority || ' pedido ' || o_orderkey from orders""",
 )
 def grid(spark, sf):
-    lined = cluster_lines(order_words(spark, sf))
-    return grid_fields(lined, GRID).select("codigo_laudo", "label", "value")
+    return grid_fields(order_words(spark, sf), GRID).select("codigo_laudo", "label", "value")
 
 
 # Printed label -> field, lowest priority number first.
