@@ -181,3 +181,48 @@ def test_long_texts_are_worked_through_few_at_once():
     assert max(part.nbytes for _, part in parts) <= lm_scoring.SLICE_BYTES + 1000
     assert list(lm_scoring._portions([9, 1, 1, 1, 1], 3, 5)) == [(0, 1), (1, 4), (4, 5)]
     assert list(lm_scoring._portions([], 3, 5)) == []
+
+
+def test_counters_of_the_words_before_by_hand():
+    """Only the last very frequent token used to be a context of words."""
+    rng = np.random.default_rng(3)
+    code = lm_scoring.huffman([40, 20, 9, 9, 5, 2, 1])
+    n = 400
+    contexts = lm_scoring.Contexts(code, np.full(16 * 7, 2048 << 4, np.uint16), np.ones(6, np.int64))
+    both, ids, times = rng.integers(0, 30, n), rng.integers(0, 7, n), rng.integers(0, 400, n)
+    order = np.lexsort((contexts.leaf[ids], both))
+    both, ids, times = both[order], ids[order], times[order]
+    new = np.concatenate(([True], both[1:] != both[:-1]))
+    paths = [code[2][code[0][i] : code[1][i]].tolist() for i in range(7)]
+    seen = 0
+    for step, (live, bits, stored) in enumerate(contexts.counters(new, ids, times)):
+        for at, bit, got in zip(live.tolist(), bits.tolist(), stored.tolist()):
+            path = paths[ids[at]]
+            assert bit == path[step] & 1
+            same = [j for j in range(n) if both[j] == both[at] and paths[ids[j]][:step] == path[:step]]
+            ones = sum(int(times[j]) for j in same if paths[ids[j]][step] & 1)
+            zeros = sum(int(times[j]) for j in same) - ones
+            assert got == lm_scoring.squeezed(np.array([zeros]), np.array([ones]))[0]
+            seen += 1
+    assert seen == sum(len(paths[i]) for i in ids)
+
+
+def test_words_before_and_words_outside_the_vocabulary_count(spark, monkeypatch):
+    """The word before told nothing, and a word outside the vocabulary forgot how often it was seen."""
+    monkeypatch.setattr(lm_scoring, "VOCABULARY", 40)
+    rng = np.random.default_rng(5)
+    # each word tells the next one; 30 words in no order are more frequent than the others
+    follows = {i: int(j) for i, j in enumerate(rng.permutation(40))}
+    rows = []
+    for d in range(1500):
+        at, words = int(rng.integers(0, 40)), []
+        for _ in range(20):
+            words.append(f"w{at}")
+            at = follows[at]
+        rows.append((d, " ".join(words)))
+    rows += [(2000 + d, "seldom") for d in range(2)] + [(3000 + d, "oftener") for d in range(200)]
+    got = {r.doc_id: r for r in lm_scoring.score_texts(documents(spark, rows), F.col("doc_id") % 5 == 0).collect()}
+    held = [r for r in got.values() if r.held_out and r.doc_id < 2000]
+    gain = sum(r.score - r.base_score for r in held) / sum(r.n_tokens for r in held)
+    assert gain > 0.4
+    assert got[3000].score > got[2000].score + 1
